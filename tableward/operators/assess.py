@@ -312,3 +312,17 @@ def quality_report(
         "total_rows", "total_columns", *parts, "overall_score", "recommendations",
         F.col("columns").alias("column_profiles"),
     )
+
+
+def amount_and_date_check(
+    df: DataFrame, amount: str, date: str, now: datetime | str | None = None, least: float = 0
+) -> DataFrame:
+    """Domain check for money tables: amounts below a bound and dates ahead of the clock."""
+    low = F.count_if(col(amount) < F.lit(least))
+    ahead = F.count_if(col(date).cast("timestamp_ntz") > instant(now))
+    return df.agg(
+        low.alias("low_amounts"),
+        percent(low, F.count("*"), 0).alias("low_percentage"),
+        ahead.alias("future_dates"),
+        percent(ahead, F.count("*"), 0).alias("future_percentage"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import (
-    NUMERIC, TEXT, col, columns_of_class, data_columns, nan_to_null, type_class,
+    BOOLEAN, NUMERIC, TEMPORAL, TEXT, col, columns_of_class, data_columns, nan_to_null, type_class,
 )
 from tableward.functions.scalars import null_if_token
 from tableward.operators.quantiles import quantile_values, quantiles
@@ -58,8 +58,8 @@ def drop_sparse_columns(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFra
     return df.drop(*sparse_columns(rows, present, cfg))
 
 
-def most_common(df: DataFrame, column: str) -> object:
-    """The most frequent value, the smallest among equals; None without values.
+def most_common(df: DataFrame, column: str) -> str | None:
+    """The most frequent value as text, the smallest among equals; None without values.
 
     Counts are combined on the map side and only one row is fetched.
     """
@@ -69,6 +69,7 @@ def most_common(df: DataFrame, column: str) -> object:
         .count()
         .orderBy(F.desc("count"), "v")
         .limit(1)
+        .select(F.col("v").cast("string"))
         .first()
     )
     return top["v"] if top else None
@@ -93,7 +94,7 @@ def fill_values(
             fills[name] = F.lit(cfg.text_fill)
         elif kind == NUMERIC:
             fills[name] = F.lit(medians[name][0])
-        else:
+        elif kind in (BOOLEAN, TEMPORAL):
             value = most_common(df, name)
             if value is not None:
                 fills[name] = F.lit(value).cast(types[name])

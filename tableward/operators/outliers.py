@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import NUMERIC, col, columns_of_class, data_columns, nan_to_null
 from tableward.operators.assess import extreme_fences
+from tableward.operators.quantiles import quantiles
+
+
+def quartiles(df: DataFrame, columns: Sequence[str], cfg: QualityConfig = DEFAULTS) -> DataFrame:
+    """First and third quartile per column, as a table."""
+    at = quantiles(nan_to_null(df), list(columns), (0.25, 0.75), (), cfg)
+    return at.groupBy("column").agg(
+        F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"),
+    )
 
 
 def iqr_bounds(
