@@ -55,24 +55,43 @@ def datetime_or_null(column: Column, fmt: str, shape: str) -> Column:
     )
 
 
+def one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded from the stored binary value, halves to even.
+
+    The JVM's formatter rounds the shortest decimal text instead, which makes
+    1.15 (stored slightly below) 1.2.  Splitting the value in two halves of its
+    bits keeps both products exact, so the comparison with the midpoint is too.
+    """
+    big = value * F.lit(134217729.0)
+    high = big - (big - value)
+    low = value - high
+    tenths = F.floor(value * 10)
+    middle = (tenths * 2 + 1).cast("double")
+    side = (high * 20 - middle) + low * 20
+    up = (side > 0) | ((side == 0) & (tenths % 2 != 0))
+    nearest = tenths + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    return F.format_string("%.1f", nearest.cast("double") / 10)
+
+
 def human_number(column: Column) -> Column:
     """1.2M, 3.4K, or the number as it is."""
     as_double = column.cast("double")
     return (
-        F.when(as_double >= 1_000_000, F.format_string("%.1fM", as_double / 1_000_000))
-        .when(as_double >= 1_000, F.format_string("%.1fK", as_double / 1_000))
+        F.when(as_double >= 1_000_000, F.concat(one_decimal(as_double / 1_000_000), F.lit("M")))
+        .when(as_double >= 1_000, F.concat(one_decimal(as_double / 1_000), F.lit("K")))
         .otherwise(column.cast("string"))
     )
 
 
 def human_bytes(column: Column) -> Column:
     size = column.cast("double")
-    out = None
-    for power, unit in enumerate(("B", "KB", "MB", "GB")):
-        shown = F.format_string(f"%.1f {unit}", size / 1024**power)
-        under = size < 1024 ** (power + 1)
-        out = F.when(under, shown) if out is None else out.when(under, shown)
-    return out.otherwise(F.format_string("%.1f TB", size / 1024**4))
+    # The units, each 1024 of the one before.
+    units = ("B", "KB", "MB", "GB", "TB")
+    shown = [F.concat(one_decimal(size / 1024**p), F.lit(f" {u}")) for p, u in enumerate(units)]
+    out = F.when(size < 1024, shown[0])
+    for power in range(1, len(units) - 1):
+        out = out.when(size < 1024 ** (power + 1), shown[power])
+    return out.otherwise(shown[-1])
 
 
 def megabytes(column: Column) -> Column:

@@ -13,7 +13,7 @@ from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import (
     NUMERIC, col, columns_of_class, data_columns, nan_to_null, type_class,
 )
-from tableward.functions.scalars import instant
+from tableward.functions.scalars import instant, one_decimal
 from tableward.operators import checks as C
 from tableward.operators.profile import (
     BASE, LENGTHS, NUMBERS, Measure, distinct_counts, distinct_rows, measure,
@@ -226,7 +226,7 @@ def recommendations(cfg: QualityConfig = DEFAULTS) -> Column:
             *[
                 F.when(
                     ~F.col(f"{name}_met"),
-                    F.concat(F.lit(lead), F.format_string("%.1f", f"{name}_score"), F.lit(f"%, target: {goal:g}%)")),
+                    F.concat(F.lit(lead), one_decimal(F.col(f"{name}_score").cast("double")), F.lit(f"%, target: {goal:g}%)")),
                 )
                 for name, lead, goal in wording
             ]

@@ -467,3 +467,8 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
         return out
 
     return df.select(*leaves(df.schema, ()))
+
+
+def top_rows(df: DataFrame, by: Sequence[str], tie: Sequence[str], k: int) -> DataFrame:
+    """The k rows with the greatest values, ties in the order of further columns."""
+    return df.orderBy(*[F.desc(c) for c in by], *[F.asc(c) for c in tie]).limit(k)
