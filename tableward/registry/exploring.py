@@ -295,21 +295,23 @@ def top_k(spark, sf_dir):
 
 # -- display -----------------------------------------------------------------
 
-_NUMBER_TEXT = """CASE WHEN {0} >= 1000000 THEN printf('%.1fM', {0} / 1000000) WHEN {0} >= 1000 THEN printf('%.1fK', {0} / 1000) ELSE CAST({1} AS STRING) END"""
+def number_text(n: str) -> str:
+    return (
+        f"CASE WHEN {n} >= 1000000 THEN printf('%.1fM', CAST({n} AS DOUBLE) / 1000000) "
+        f"WHEN {n} >= 1000 THEN printf('%.1fK', CAST({n} AS DOUBLE) / 1000) ELSE CAST({n} AS STRING) END"
+    )
 
 
 @query(
-    f"""SELECT o_orderkey, {_NUMBER_TEXT.format("o_totalprice", "o_orderkey")} AS price_text,
-        CASE WHEN o_orderkey >= 1000 THEN printf('%.1fK', CAST(o_orderkey AS DOUBLE) / 1000) ELSE CAST(o_orderkey AS STRING) END AS key_text,
+    f"""SELECT o_orderkey, {number_text("o_totalprice")} AS price_text, {number_text("o_orderkey")} AS key_text,
         CASE WHEN size < 1024 THEN printf('%.1f B', size) WHEN size < 1048576 THEN printf('%.1f KB', size / 1024)
              WHEN size < 1073741824 THEN printf('%.1f MB', size / 1048576) WHEN size < 1099511627776 THEN printf('%.1f GB', size / 1073741824)
              ELSE printf('%.1f TB', size / 1099511627776) END AS size_text
-        FROM (SELECT *, CAST(o_orderkey AS DOUBLE) * o_orderkey * o_orderkey AS size FROM orders) WHERE o_totalprice >= 1000 AND o_orderkey < 1000000"""
+        FROM (SELECT *, CAST(o_orderkey AS DOUBLE) * o_orderkey * o_orderkey AS size FROM orders)"""
 )
 def human_units(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_totalprice >= 1000 AND o_orderkey < 1000000")
     key = F.col("o_orderkey")
-    return orders.select(
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         S.human_number(F.col("o_totalprice")).alias("price_text"),
         S.human_number(key).alias("key_text"),
