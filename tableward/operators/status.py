@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableward.functions.names import summary_name
+
 FILE_STATUS = T.StructType(
     [
         T.StructField("file", T.StringType()),
@@ -119,3 +121,9 @@ def events(df: DataFrame, stage: str, status: str, now, file: str = "file", erro
 
 def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
+
+
+def pair_reports(catalogue: DataFrame, reports: DataFrame) -> DataFrame:
+    """Each cleaned dataset with its report, found by the derived report name."""
+    keyed = catalogue.withColumn("report", summary_name(F.col("dataset")))
+    return keyed.join(reports, "report", "left")

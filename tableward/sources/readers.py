@@ -61,7 +61,7 @@ def literal(paths: Sequence[str]) -> list[str]:
 
 
 def _decoded(line: Column, valid: Column) -> Column:
-    return F.when(valid, line).otherwise(F.decode(line.cast("binary"), F.lit(LATIN)))
+    return F.when(valid, line).otherwise(F.decode(line.cast("binary"), LATIN))
 
 
 def decode_with_fallback(content: Column) -> Column:

@@ -9,7 +9,7 @@ what it wrote before, and log readers take the latest row per key.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,7 +146,7 @@ def _after(now: datetime | str | None):
     if now is None:
         return None
     fixed = datetime.fromisoformat(now) if isinstance(now, str) else now
-    return fixed.replace(microsecond=min(fixed.microsecond + 1, 999_999))
+    return fixed + timedelta(microseconds=1)
 
 
 # -- streams -----------------------------------------------------------------
