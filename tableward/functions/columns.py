@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -47,7 +48,25 @@ def columns_of_class(df: DataFrame, *classes: str, among: Iterable[str] | None =
 
 def col(name: str) -> Column:
     """Column by exact name, also when the name holds dots or blanks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
+
+
+# Expressions over many columns are written as SQL text: one parsed string per
+# expression instead of a driver round trip per operator in it.
+
+
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number(value: float) -> str:
+    if math.isinf(value) or math.isnan(value):
+        return f"double('{value}')"
+    return f"{float(value)!r}D"
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -55,27 +74,25 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     if not floats:
         return df
-    return df.select(
-        *[F.nanvl(col(c), F.lit(None)).alias(c) if c in floats else col(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"nanvl({ident(c)}, NULL) AS {ident(c)}" if c in floats else ident(c) for c in df.columns]
     )
 
 
-def compact_key(column: Column, data_type: T.DataType) -> Column:
-    """A grouping key equal exactly when the value is equal, of bounded width.
+def compact_key(name: str, data_type: T.DataType) -> str:
+    """A grouping key, as SQL, equal exactly when the value is equal, of bounded width.
 
     Long text is replaced by its SHA-256; a digest key is longer than any text
     kept as it is, so the two kinds never meet.  This keeps distinct and
     duplicate shuffles narrow on tables with document-sized cells.
     """
-    kind = type_class(data_type)
-    if kind == TEXT:
-        return F.when(F.octet_length(column) <= 64, column).otherwise(
-            F.concat(F.lit("sha256:"), F.sha2(column, 256))
-        )
+    c = ident(name)
+    if type_class(data_type) == TEXT:
+        return f"CASE WHEN octet_length({c}) <= 64 THEN {c} ELSE concat('sha256:', sha2({c}, 256)) END"
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return column + F.lit(0.0)  # folds -0.0 into 0.0
+        return f"({c} + 0.0D)"  # folds -0.0 into 0.0
     if isinstance(data_type, T.BinaryType):
-        return F.sha2(column, 256)
+        return f"sha2({c}, 256)"
     if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.when(column.isNotNull(), F.sha2(F.to_json(F.struct(column.alias("v"))), 256))
-    return column
+        return f"CASE WHEN {c} IS NOT NULL THEN sha2(to_json(struct({c} AS v)), 256) END"
+    return c

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, NULL_TOKENS
+from tableward.functions.columns import text
 
 # Every character Unicode (and Python's str.strip) treats as blank.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
@@ -19,12 +20,15 @@ NUMBER_SHAPE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][i
 INTEGER_SHAPE = r"^[+-]?\d{1,18}$"
 
 
+def instant_sql(now: datetime | str | None) -> str:
+    if now is None:
+        return "localtimestamp()"
+    return f"TIMESTAMP_NTZ '{now if isinstance(now, str) else now.isoformat(sep=' ')}'"
+
+
 def instant(now: datetime | str | None) -> Column:
     """A fixed time as a zone-less timestamp, or the query's own start time."""
-    if now is None:
-        return F.localtimestamp()
-    text = now if isinstance(now, str) else now.isoformat(sep=" ")
-    return F.lit(text).cast("timestamp_ntz")
+    return F.expr(instant_sql(now))
 
 
 def strip(column: Column) -> Column:
@@ -43,8 +47,13 @@ def tidy_text(column: Column, fill: str = DEFAULTS.text_fill) -> Column:
 
 
 def number_or_null(column: Column) -> Column:
-    text = strip(column)
-    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
+    stripped = strip(column)
+    return F.when(stripped.rlike(NUMBER_SHAPE), stripped.try_cast("double"))
+
+
+def number_sql(column: str) -> str:
+    stripped = f"btrim({column}, {text(WHITESPACE)})"
+    return f"CASE WHEN {stripped} RLIKE {text(NUMBER_SHAPE)} THEN try_cast({stripped} AS DOUBLE) END"
 
 
 def datetime_or_null(column: Column, fmt: str, shape: str) -> Column:
@@ -55,6 +64,13 @@ def datetime_or_null(column: Column, fmt: str, shape: str) -> Column:
     )
 
 
+def datetime_sql(column: str, fmt: str, shape: str) -> str:
+    return (
+        f"CASE WHEN {column} RLIKE {text(shape)} THEN "
+        f"CAST(try_to_timestamp({column}, {text(fmt)}) AS TIMESTAMP_NTZ) END"
+    )
+
+
 def one_decimal(value: Column) -> Column:
     """Text with one decimal, rounded from the stored binary value, halves to even.
 

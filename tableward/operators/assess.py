@@ -7,13 +7,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import (
-    NUMERIC, col, columns_of_class, data_columns, nan_to_null, type_class,
+    NUMERIC, col, columns_of_class, data_columns, nan_to_null, text, type_class,
 )
-from tableward.functions.scalars import instant, one_decimal
+from tableward.functions.scalars import instant, instant_sql, one_decimal
 from tableward.operators import checks as C
 from tableward.operators.profile import (
     BASE, LENGTHS, NUMBERS, Measure, distinct_counts, distinct_rows, measure,
@@ -25,9 +24,10 @@ def percent(part: Column, whole: Column, if_empty: float) -> Column:
     return F.when(whole == 0, F.lit(float(if_empty))).otherwise(part / whole * 100)
 
 
-def with_types(long: DataFrame, df: DataFrame) -> DataFrame:
-    names = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
-    return long.withColumn("data_type", names[F.col("column")])
+def type_of_column(df: DataFrame) -> str:
+    """SQL for the type name of the column a row of a long table is about."""
+    pairs = ", ".join(f"{text(f.name)}, {text(f.dataType.simpleString())}" for f in df.schema.fields)
+    return f"map({pairs})[column]"
 
 
 def completeness(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
@@ -135,34 +135,35 @@ def column_quality(
     numeric = columns_of_class(df, NUMERIC, among=names)
     needs_fences = any(c.name == C.NUMERIC_EXTREMES.name for c in checks)
     fences = extreme_fences(clean, numeric, cfg, rows=rows) if numeric and needs_fences else {}
-    ctx = C.Context(instant(now), fences, cfg)
-    types = {f.name: f.dataType for f in df.schema.fields}
+    ctx = C.Context(instant_sql(now), fences, cfg)
+    kinds = {f.name: type_class(f.dataType) for f in df.schema.fields}
 
     def hits(check: C.Check) -> Measure:
         return Measure(
             f"hit_{check.name}",
-            lambda name, c, kind: F.count_if(check.offends(name, c, ctx))
+            lambda name, c, kind: f"count_if({check.offends(name, c, ctx)})"
             if kind == check.applies_to
-            else F.lit(0).cast("bigint"),
+            else "CAST(0 AS BIGINT)",
         )
 
     long = measure(clean, names, [*measures, *[hits(c) for c in checks]], cfg)
-    kinds = F.create_map(*[F.lit(x) for n in names for x in (n, type_class(types[n]))])
-    kind = kinds[F.col("column")]
-    penalty, issues = F.lit(0), []
+    penalties, issues = ["0"], []
     for check in checks:
-        found = F.col(f"hit_{check.name}")
-        fired = (
-            (kind == check.applies_to)
-            & (F.col("non_null_count") > 0)
-            & check.fires(found, F.col("non_null_count"), F.col("total_count"), ctx)
-        )
-        penalty = penalty + F.when(fired, F.lit(check.penalty)).otherwise(F.lit(0))
-        issues.append(F.when(fired, check.message(found)))
-    return (
-        long.withColumn("consistency_score", F.greatest(F.lit(0), F.lit(100) - penalty))
-        .withColumn("issues", F.array_compact(F.array(*issues)))
-        .drop(*[f"hit_{c.name}" for c in checks])
+        found = f"hit_{check.name}"
+        members = [text(n) for n in names if kinds[n] == check.applies_to]
+        if not members:
+            continue
+        trigger = check.fires.format(found=found, present="non_null_count", total="total_count", cfg=cfg)
+        fired = f"(column IN ({', '.join(members)}) AND non_null_count > 0 AND {trigger})"
+        penalties.append(f"CASE WHEN {fired} THEN {check.penalty} ELSE 0 END")
+        said = f"format_string({text(check.message)}, {found})" if "%d" in check.message else text(check.message)
+        issues.append(f"CASE WHEN {fired} THEN {said} END")
+    kept = [c for c in long.columns if not c.startswith("hit_")]
+    found_issues = f"array_compact(array({', '.join(issues)}))" if issues else "CAST(array() AS ARRAY<STRING>)"
+    return long.selectExpr(
+        *kept,
+        f"greatest(0, 100 - ({' + '.join(penalties)})) AS consistency_score",
+        f"{found_issues} AS issues",
     )
 
 
@@ -177,7 +178,9 @@ def column_profiles(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
     """Type, counts, distinct values, numeric moments and text lengths per column."""
     clean = nan_to_null(df)
     names = data_columns(df, cfg)
-    long = with_types(measure(clean, names, (*BASE, *NUMBERS, *LENGTHS), cfg), df)
+    long = measure(clean, names, (*BASE, *NUMBERS, *LENGTHS), cfg).withColumn(
+        "data_type", F.expr(type_of_column(df))
+    )
     return _with_distincts(long, clean, names)
 
 
@@ -199,10 +202,11 @@ def quality_table(
     names = data_columns(df, cfg)
     clean = nan_to_null(df)
     long = column_quality(clean, cfg, now, checks, names, (*BASE, *NUMBERS, *LENGTHS), rows)
-    long = _with_distincts(with_types(long, df), clean, names)
+    long = _with_distincts(long, clean, names)
     total, present = F.col("total_count"), F.col("non_null_count")
     return long.select(
-        "column", "data_type", "total_count", "non_null_count", "null_count", "unique_values",
+        "column", F.expr(type_of_column(df)).alias("data_type"),
+        "total_count", "non_null_count", "null_count", "unique_values",
         F.round(percent(present, total, 0), 2).alias("completeness_percentage"),
         F.round(percent(F.col("unique_values"), present, 0), 2).alias("uniqueness_percentage"),
         F.round(percent(present, total, 100), 2).alias("validity_percentage"),
@@ -237,25 +241,21 @@ def recommendations(cfg: QualityConfig = DEFAULTS) -> Column:
     )
 
 
-def quality_scores(
-    df: DataFrame,
-    cfg: QualityConfig = DEFAULTS,
-    now: datetime | str | None = None,
-    checks: Sequence[C.Check] = C.BUILT_IN,
-    table: DataFrame | None = None,
-) -> DataFrame:
-    """One row: the four scores, whether they meet their threshold, and the overall score."""
+_PARTS = ("completeness", "uniqueness", "consistency", "validity")
+
+
+def _score_row(df: DataFrame, long: DataFrame | None, cfg: QualityConfig, *more: Column) -> DataFrame:
+    """The scores from a column table; further aggregates of it ride along."""
     names = data_columns(df, cfg)
-    if not names:
+    if long is None:
         row = df.agg(F.count("*").alias("total_rows"))
-        for part in ("completeness", "uniqueness", "consistency", "validity"):
+        for part in _PARTS:
             row = row.withColumn(f"{part}_score", F.lit(100.0)).withColumn(f"{part}_met", F.lit(True))
         return (
             row.withColumn("total_columns", F.lit(len(df.columns)))
             .withColumn("duplicate_rows", F.lit(0).cast("bigint"))
             .withColumn("overall_score", F.lit(100.0))
         )
-    long = table if table is not None else column_quality(df, cfg, now, checks)
     cells = percent(F.sum("non_null_count"), F.sum("total_count"), 0)
     valid = F.avg(percent(F.col("non_null_count"), F.col("total_count"), 100))
     even = F.avg("consistency_score")
@@ -267,19 +267,31 @@ def quality_scores(
         (even >= cfg.consistency_min).alias("consistency_met"),
         F.round(valid, 2).alias("validity_score"),
         (valid >= cfg.validity_min).alias("validity_met"),
+        *more,
     ).withColumn("distinct_rows", distinct_rows(nan_to_null(df), names).scalar())
     unique = percent(F.col("distinct_rows"), F.col("total_rows"), 100)
-    scores = ("completeness_score", "uniqueness_score", "consistency_score", "validity_score")
+    total = sum((F.col(f"{p}_score") for p in _PARTS[1:]), F.col(f"{_PARTS[0]}_score"))
     return (
         row.withColumn("total_columns", F.lit(len(df.columns)))
         .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
         .withColumn("uniqueness_score", F.round(unique, 2))
         .withColumn("uniqueness_met", unique >= cfg.uniqueness_min)
-        .withColumn("overall_score", sum((F.col(s) for s in scores[1:]), F.col(scores[0])) / 4)
+        .withColumn("overall_score", total / 4)
         .drop("distinct_rows")
     )
 
 
+def quality_scores(
+    df: DataFrame,
+    cfg: QualityConfig = DEFAULTS,
+    now: datetime | str | None = None,
+    checks: Sequence[C.Check] = C.BUILT_IN,
+) -> DataFrame:
+    """One row: the four scores, whether they meet their threshold, and the overall score."""
+    long = column_quality(df, cfg, now, checks) if data_columns(df, cfg) else None
+    return _score_row(df, long, cfg)
+
+
 def quality_report(
     df: DataFrame,
     cfg: QualityConfig = DEFAULTS,
@@ -288,29 +300,26 @@ def quality_report(
 ) -> DataFrame:
     """The report as one nested row, for the JSON sink.
 
-    The column table is computed once: its rows (one per column) are gathered
-    here, which is bounded by the width of the table, not by its length.
+    The column table is computed once, scores and profiles come from the same
+    aggregate.  What is gathered is one entry per column of the table.
     """
-    names = data_columns(df, cfg)
-    scores = quality_scores(df, cfg, now, checks)
-    if names:
+    if data_columns(df, cfg):
         table = quality_table(df, cfg, now, checks)
-        columns = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("columns"))
-        scores = scores.withColumn("columns", columns.scalar())
+        entries = F.array_sort(F.collect_list(F.struct(*table.columns))).alias("column_profiles")
+        scores = _score_row(df, table, cfg, entries)
     else:
-        scores = scores.withColumn("columns", F.array().cast(T.ArrayType(T.StructType([]))))
+        scores = _score_row(df, None, cfg).withColumn("column_profiles", F.array())
     parts = [
         F.struct(
             F.col(f"{p}_score").alias("score"),
             F.col(f"{p}_met").alias("threshold_met"),
             *([F.col("duplicate_rows")] if p == "uniqueness" else []),
         ).alias(p)
-        for p in ("completeness", "uniqueness", "consistency", "validity")
+        for p in _PARTS
     ]
     return scores.withColumn("recommendations", recommendations(cfg)).select(
         instant(now).alias("assessment_timestamp"),
-        "total_rows", "total_columns", *parts, "overall_score", "recommendations",
-        F.col("columns").alias("column_profiles"),
+        "total_rows", "total_columns", *parts, "overall_score", "recommendations", "column_profiles",
     )
 
 

@@ -9,78 +9,65 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import NUMERIC, TEMPORAL, TEXT
-from tableward.functions.scalars import strip
+from tableward.functions.columns import NUMERIC, TEMPORAL, TEXT, number, text
+from tableward.functions.scalars import WHITESPACE
 
 
 @dataclass(frozen=True)
 class Context:
     """What a check may use besides the column: the clock, fences and settings."""
 
-    now: Column
+    now: str
     fences: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     cfg: QualityConfig = DEFAULTS
 
 
 @dataclass(frozen=True)
 class Check:
+    """A rule for the columns of one type class, in SQL.
+
+    ``offends(column name, column as SQL, context)`` is the condition counted.
+    ``fires`` compares the count ``{found}`` with the column's non-null values
+    ``{present}`` or the table's rows ``{total}``, and may use settings.
+    ``message`` is the issue text; ``%d`` in it shows the count.
+    """
+
     name: str
     applies_to: str
     penalty: int
-    offends: Callable[[str, Column, Context], Column]
-    fires: Callable[[Column, Column, Column, Context], Column]
-    message: Callable[[Column], Column]
-
-
-def _any(found: Column, non_null: Column, total: Column, ctx: Context) -> Column:
-    return found > 0
+    offends: Callable[[str, str, Context], str]
+    message: str
+    fires: str = "{found} > 0"
 
 
-def counted(text: str) -> Callable[[Column], Column]:
-    return lambda found: F.format_string(f"%d {text}", found)
-
-
-def _mixed_case(name: str, c: Column, ctx: Context) -> Column:
-    low, up = F.lower(c), F.upper(c)
-    return ~((c == low) & (c != up)) & ~((c == up) & (c != low))
-
-
-def _extreme(name: str, c: Column, ctx: Context) -> Column:
+def _extreme(name: str, c: str, ctx: Context) -> str:
     if name not in ctx.fences:
-        return F.lit(False)
+        return "false"
     lo, hi = ctx.fences[name]
-    return (c < F.lit(lo)) | (c > F.lit(hi))
+    return f"{c} < {number(lo)} OR {c} > {number(hi)}"
 
 
 TEXT_CASING = Check(
-    "casing", TEXT, 20, _mixed_case,
-    lambda found, non_null, total, ctx: found > non_null * F.lit(ctx.cfg.mixed_case_share),
-    lambda found: F.lit("Inconsistent text casing"),
+    "casing", TEXT, 20,
+    lambda name, c, ctx: f"NOT ({c} = lower({c}) AND {c} <> upper({c})) AND NOT ({c} = upper({c}) AND {c} <> lower({c}))",
+    "Inconsistent text casing",
+    "{found} > {present} * {cfg.mixed_case_share}D",
 )
 TEXT_BLANKS = Check(
-    "outer_blanks", TEXT, 10, lambda name, c, ctx: c != strip(c), _any,
-    counted("values with leading/trailing whitespace"),
-)
-TEXT_EMPTY = Check(
-    "empty", TEXT, 15, lambda name, c, ctx: c == F.lit(""), _any, counted("empty strings"),
+    "outer_blanks", TEXT, 10, lambda name, c, ctx: f"{c} <> btrim({c}, {text(WHITESPACE)})",
+    "%d values with leading/trailing whitespace",
 )
+TEXT_EMPTY = Check("empty", TEXT, 15, lambda name, c, ctx: f"{c} = ''", "%d empty strings")
 NUMERIC_EXTREMES = Check(
-    "extremes", NUMERIC, 25, _extreme,
-    lambda found, non_null, total, ctx: found > total * F.lit(ctx.cfg.extreme_share),
-    counted("extreme outliers detected"),
+    "extremes", NUMERIC, 25, _extreme, "%d extreme outliers detected", "{found} > {total} * {cfg.extreme_share}D"
 )
 FUTURE_DATES = Check(
-    "future", TEMPORAL, 20, lambda name, c, ctx: c.cast("timestamp_ntz") > ctx.now, _any,
-    counted("future dates detected"),
+    "future", TEMPORAL, 20, lambda name, c, ctx: f"CAST({c} AS TIMESTAMP_NTZ) > {ctx.now}", "%d future dates detected"
 )
 OLD_DATES = Check(
-    "old", TEMPORAL, 15,
-    lambda name, c, ctx: c.cast("timestamp_ntz") < F.lit("1900-01-01").cast("timestamp_ntz"),
-    _any, counted("dates before 1900"),
+    "old", TEMPORAL, 15, lambda name, c, ctx: f"CAST({c} AS TIMESTAMP_NTZ) < TIMESTAMP_NTZ '1900-01-01'",
+    "%d dates before 1900",
 )
 
 BUILT_IN = (TEXT_CASING, TEXT_BLANKS, TEXT_EMPTY, NUMERIC_EXTREMES, FUTURE_DATES, OLD_DATES)
@@ -89,7 +76,6 @@ BUILT_IN = (TEXT_CASING, TEXT_BLANKS, TEXT_EMPTY, NUMERIC_EXTREMES, FUTURE_DATES
 def negative_amounts(columns: tuple[str, ...], penalty: int = 10) -> Check:
     """Domain check for money: amounts that should not be below zero."""
     return Check(
-        "negative", NUMERIC, penalty,
-        lambda name, c, ctx: (c < 0) if name in columns else F.lit(False),
-        _any, counted("negative amounts"),
+        "negative", NUMERIC, penalty, lambda name, c, ctx: f"{c} < 0" if name in columns else "false",
+        "%d negative amounts",
     )

@@ -14,7 +14,7 @@ from tableward.functions.columns import col, compact_key, data_columns
 
 def _keys(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [compact_key(col(c), types[c]).alias(f"_k{i}") for i, c in enumerate(columns)]
+    return [F.expr(f"{compact_key(c, types[c])} AS _k{i}") for i, c in enumerate(columns)]
 
 
 def drop_duplicates(

@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 
 from tableward.config import DEFAULTS, RECENCY_HOURS, QualityConfig
 from tableward.functions.columns import (
-    NUMERIC, TEXT, chart_columns, col, columns_of_class, data_columns, nan_to_null, type_class,
+    NUMERIC, TEXT, chart_columns, col, columns_of_class, data_columns, ident, nan_to_null, number, text, type_class,
 )
 from tableward.functions.scalars import instant
 from tableward.operators.assess import column_profiles
-from tableward.operators.missing import most_common, null_counts
+from tableward.operators.missing import most_common
 from tableward.operators.profile import one_row_to_long
 from tableward.operators.quantiles import quantile_values, quantiles
 from tableward.session import stage
@@ -34,14 +34,12 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityCo
     """Count, mean, deviation, extremes and quartiles per numeric column."""
     names = list(columns) if columns is not None else columns_of_class(df, NUMERIC, among=chart_columns(df, cfg))
     clean = nan_to_null(df.select(*[col(c) for c in names]))
-    aggs = []
-    for i, c in enumerate(names):
-        v = col(c).cast("double")
-        aggs += [
-            F.count(v).alias(f"{i}_count"), F.avg(v).alias(f"{i}_mean"), F.stddev_samp(v).alias(f"{i}_std"),
-            F.min(v).alias(f"{i}_min"), F.max(v).alias(f"{i}_max"),
-        ]
-    moments = one_row_to_long(clean.agg(*aggs), names, ["count", "mean", "std", "min", "max"])
+    aggs = [
+        f"{fn}(CAST({ident(c)} AS DOUBLE)) AS `{i}_{m}`"
+        for i, c in enumerate(names)
+        for m, fn in (("count", "count"), ("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+    ]
+    moments = one_row_to_long(clean.selectExpr(*aggs), names, ["count", "mean", "std", "min", "max"])
     at = quantiles(clean, names, _QUARTILES, (), cfg).groupBy("column").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in zip(_QUARTILES, ("p25", "p50", "p75"))]
     )
@@ -89,34 +87,48 @@ def correlation_pairs(
 ) -> DataFrame:
     """Pearson correlation of each pair of numeric columns, over rows holding both.
 
-    Columns without gaps share one variance each; only pairs with a gap need
-    sums of their own.  A constant column has no correlation (NULL).
+    Columns without gaps are centred on their means first; a pair then costs
+    one sum of products, which keeps the generated code small and is accurate.
+    Pairs with a gap have means of their own and use the running-moment
+    aggregates.  A constant column has no correlation (NULL).
     """
     names = list(columns) if columns is not None else columns_of_class(df, NUMERIC, among=chart_columns(df, cfg))
     clean = nan_to_null(df.select(*[col(c).cast("double").alias(c) for c in names]))
     pairs = list(combinations(names, 2))
     if not pairs:
         raise ValueError("correlation needs two numeric columns")
-    rows, present = null_counts(clean, names)
-    full = {c for c in names if present[c] == rows}
+    first = clean.selectExpr(
+        "count(*) AS rows",
+        *[
+            f"{e} AS {k}{i}"
+            for i, c in enumerate(map(ident, names))
+            for k, e in (("n", f"count({c})"), ("m", f"avg({c})"), ("v", f"min({c}) < max({c})"))
+        ],
+    ).first()
+    at = {c: i for i, c in enumerate(names)}
+    full = {c for c in names if first["rows"] and first[f"n{at[c]}"] == first["rows"]}
+    centred = clean.selectExpr(
+        *[f"{ident(c)} - {number(first[f'm{at[c]}'])} AS {ident(c)}" if c in full else ident(c) for c in names]
+    )
     parts = []
     for start in range(0, len(pairs), cfg.max_aggs_per_job):
         chunk = pairs[start : start + cfg.max_aggs_per_job]
-        aggs: dict[str, Column] = {}
+        aggs: dict[str, str] = {}
         entries = []
         for i, (a, b) in enumerate(chunk):
-            x, y = col(a), col(b)
+            x, y = ident(a), ident(b)
             if a in full and b in full:
-                sx, sy = f"v_{names.index(a)}", f"v_{names.index(b)}"
-                aggs[sx], aggs[sy] = F.regr_sxx(x, x), F.regr_sxx(y, y)
+                sx, sy = f"v_{at[a]}", f"v_{at[b]}"
+                aggs |= {sx: f"sum({x} * {x})", sy: f"sum({y} * {y})", f"c_{i}": f"sum({x} * {y})"}
+                varies = "true" if first[f"v{at[a]}"] and first[f"v{at[b]}"] else "false"
             else:
                 sx, sy = f"x_{i}", f"y_{i}"
-                aggs[sx], aggs[sy] = F.regr_sxx(y, x), F.regr_syy(y, x)
-            aggs[f"c_{i}"] = F.regr_sxy(y, x)
-            r = F.try_divide(F.col(f"c_{i}"), F.sqrt(F.col(sx)) * F.sqrt(F.col(sy)))
-            entries.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), r.alias("corr")))
-        sums = clean.agg(*[e.alias(n) for n, e in aggs.items()])
-        parts.append(sums.select(F.inline(F.array(*entries))))
+                aggs |= {sx: f"regr_sxx({y}, {x})", sy: f"regr_syy({y}, {x})", f"c_{i}": f"regr_sxy({y}, {x})"}
+                varies = "true"
+            r = f"CASE WHEN {varies} THEN try_divide(c_{i}, sqrt({sx}) * sqrt({sy})) END"
+            entries.append(f"named_struct('var_x', {text(a)}, 'var_y', {text(b)}, 'corr', {r})")
+        sums = centred.selectExpr(*[f"{e} AS {n}" for n, e in aggs.items()])
+        parts.append(sums.selectExpr(f"inline(array({', '.join(entries)}))"))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -212,18 +224,18 @@ def box_stats(df: DataFrame, columns: Sequence[str], cfg: QualityConfig = DEFAUL
         raise ValueError("no values to describe")
     aggs = []
     for i, (n, (q1, q2, q3)) in enumerate(found.items()):
-        v = col(n).cast("double")
+        v = f"CAST({ident(n)} AS DOUBLE)"
         reach = cfg.outlier_iqr * (q3 - q1)
-        inside = v.between(F.lit(q1 - reach), F.lit(q3 + reach))
+        inside = f"{v} BETWEEN {number(q1 - reach)} AND {number(q3 + reach)}"
         aggs += [
-            F.count(v).alias(f"{i}_n"),
-            F.lit(q1).alias(f"{i}_q1"), F.lit(q2).alias(f"{i}_median"), F.lit(q3).alias(f"{i}_q3"),
-            F.min(F.when(inside, v)).alias(f"{i}_whisker_low"),
-            F.max(F.when(inside, v)).alias(f"{i}_whisker_high"),
-            F.count_if(~inside).alias(f"{i}_outliers"),
+            f"count({v}) AS `{i}_n`",
+            f"{number(q1)} AS `{i}_q1`", f"{number(q2)} AS `{i}_median`", f"{number(q3)} AS `{i}_q3`",
+            f"min(CASE WHEN {inside} THEN {v} END) AS `{i}_whisker_low`",
+            f"max(CASE WHEN {inside} THEN {v} END) AS `{i}_whisker_high`",
+            f"count_if(NOT ({inside})) AS `{i}_outliers`",
         ]
     fields = ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers"]
-    return one_row_to_long(clean.agg(*aggs), list(found), fields)
+    return one_row_to_long(clean.selectExpr(*aggs), list(found), fields)
 
 
 def box_outliers(df: DataFrame, column: str, cfg: QualityConfig = DEFAULTS) -> DataFrame:

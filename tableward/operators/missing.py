@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import (
-    BOOLEAN, NUMERIC, TEMPORAL, TEXT, col, columns_of_class, data_columns, nan_to_null, type_class,
+    BOOLEAN, NUMERIC, TEMPORAL, TEXT, col,  columns_of_class, data_columns, ident, nan_to_null, type_class,
 )
 from tableward.functions.scalars import null_if_token
 from tableward.operators.quantiles import quantile_values, quantiles
@@ -35,9 +35,8 @@ def drop_empty_rows(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
     """Row count and non-null count of each column, from one aggregate row."""
-    row = nan_to_null(df).agg(
-        F.count("*").alias("_rows"), *[F.count(col(c)).alias(f"_n{i}") for i, c in enumerate(columns)]
-    ).first()
+    counts = [f"count({ident(c)}) AS _n{i}" for i, c in enumerate(columns)]
+    row = nan_to_null(df).selectExpr("count(*) AS _rows", *counts).first()
     return row["_rows"], {c: row[f"_n{i}"] for i, c in enumerate(columns)}
 
 

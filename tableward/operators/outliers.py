@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import NUMERIC, col, columns_of_class, data_columns, nan_to_null
+from tableward.functions.columns import NUMERIC, col, columns_of_class, data_columns, ident, nan_to_null, number
 from tableward.operators.assess import extreme_fences
 from tableward.operators.quantiles import quantiles
 
@@ -28,10 +28,6 @@ def iqr_bounds(
     return extreme_fences(df, columns, cfg, cfg.outlier_iqr, rows)
 
 
-def _outside(name: str, lo: float, hi: float) -> Column:
-    return (col(name) < F.lit(lo)) | (col(name) > F.lit(hi))
-
-
 def remove_outside(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     """Keep rows inside the bounds; a missing value is not inside."""
     for name, (lo, hi) in bounds.items():
@@ -49,10 +45,11 @@ def cap(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def _outlier_counts(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> tuple[int, dict[str, int]]:
-    row = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(_outside(n, *b)).alias(f"o{i}") for i, (n, b) in enumerate(bounds.items())],
-    ).first()
+    far = [
+        f"count_if({ident(n)} < {number(lo)} OR {ident(n)} > {number(hi)}) AS o{i}"
+        for i, (n, (lo, hi)) in enumerate(bounds.items())
+    ]
+    row = df.selectExpr("count(*) AS rows", *far).first()
     return row["rows"], {n: row[f"o{i}"] for i, n in enumerate(bounds)}
 
 

@@ -1,15 +1,18 @@
 """Exact, linearly interpolated quantiles that do not depend on one task.
 
 ``percentile`` keeps a value -> count map of everything it has seen in a single
-reducer.  That is the fastest way while the number of values has a known small
-bound, and it is used only then.  Beyond the bound the search is distributed:
-
-1. a mergeable sketch per key, merged in two levels so that no reducer receives
-   one sketch per map task, gives a bracket around each wanted rank;
-2. one pass counts the values below each bracket and builds the value -> count
-   table inside it (pre-aggregated on the map side, so a hot value is one row);
-3. the table is range-partitioned and staged; sums per partition locate the
-   partition that holds the rank, and only that partition is ranked.
+reducer, for all columns together.  Here the counts are an ordinary aggregate:
+one row per key and distinct value, combined on the map side, so a hot value is
+one row however often it occurs.
+
+* While the number of rows has a known bound, each key's distinct values are
+  ranked by a window that spills if it must.
+* Beyond the bound the search is distributed.  A mergeable sketch per key,
+  merged in two levels so that no reducer receives one sketch per map task,
+  gives a bracket around each wanted rank.  One pass counts the values below
+  each bracket and builds the counts inside it.  These are range-partitioned
+  and staged; sums per partition locate the one that holds the rank, and only
+  that partition is ranked.
 
 The sketch decides only where to look.  Counts decide the answer, and a bracket
 that misses its rank is widened, in the end to the whole range.
@@ -19,12 +22,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import col
+from tableward.functions.columns import col, ident, number, text
 from tableward.session import stage
 
 _GRID = 500
@@ -34,30 +37,41 @@ _MARGINS = (2, 16, _GRID)
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    wide = df.select(*[col(b) for b in by], *[col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "value")
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    """``by..., slot, value``: one row per value, the column as a small number."""
+    cells = ", ".join(f"named_struct('slot', {i}, 'value', CAST({ident(c)} AS DOUBLE))" for i, c in enumerate(columns))
+    long = df.selectExpr(*[ident(b) for b in by], f"inline(array({cells}))")
+    return long.where("value IS NOT NULL AND NOT isnan(value)")
 
 
-def _inline(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    at = F.array(*[F.lit(float(p)) for p in probs])
-    values = [F.percentile(F.nanvl(col(c).cast("double"), F.lit(None)), at).alias(f"q{i}") for i, c in enumerate(columns)]
-    wide = df.groupBy(*[col(b) for b in by]).agg(*values)
-    entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(float(p)).alias("prob"),
-            F.get(F.col(f"q{i}"), F.lit(j)).alias("value"),
-        )
-        for i, c in enumerate(columns)
+def _interpolated(position: str, low: str, high: str) -> str:
+    mixed = f"(floor({position}) + 1 - {position}) * {low} + ({position} - floor({position})) * {high}"
+    return f"CASE WHEN {low} = {high} THEN {low} ELSE {mixed} END"
+
+
+def _ranked(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from a window over each key's distinct values."""
+    named = ", ".join(ident(k) for k in keys)
+    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("c"))
+    upto = counts.selectExpr(
+        "*",
+        f"sum(c) OVER (PARTITION BY {named} ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS end",
+        f"sum(c) OVER (PARTITION BY {named}) AS n",
+    )
+    aggs = []
+    for j, p in enumerate(probs):
+        for name, rounding in (("l", "floor"), ("h", "ceil")):
+            rank = f"{rounding}({number(p)} * (n - 1))"
+            aggs.append(F.expr(f"max(CASE WHEN {rank} >= end - c AND {rank} < end THEN value END) AS {name}{j}"))
+    found = upto.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
+    cells = ", ".join(
+        f"named_struct('prob', {number(p)}, 'value', {_interpolated(f'({number(p)} * (n - 1))', f'l{j}', f'h{j}')})"
         for j, p in enumerate(probs)
-    ]
-    return wide.select(*[col(b) for b in by], F.explode(F.array(*entries)).alias("e")).select(
-        *[col(b) for b in by], "e.column", "e.prob", "e.value"
     )
+    return found.selectExpr(*[ident(k) for k in keys], f"inline(array({cells}))")
 
 
 def _brackets(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: int) -> DataFrame:
+    """Per key: number of values, and ``lo``/``hi`` around each wanted rank."""
     salted = (
         long.withColumn("salt", F.spark_partition_id() % _MERGE_SALTS)
         .groupBy(*keys, "salt")
@@ -74,85 +88,71 @@ def _brackets(long: DataFrame, keys: Sequence[str], probs: Sequence[float], marg
         F.min("least").alias("least"),
         F.max("most").alias("most"),
     )
-    ranks = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
-    grid = merged.withColumn("grid", F.kll_sketch_get_quantile_double("sketch", ranks)).drop("sketch")
-    slots = []
-    for i, p in enumerate(probs):
+    bounds = []
+    for j, p in enumerate(probs):
         left, right = int(p * _GRID) - margin, int(p * _GRID) + 1 + margin
-        lo = F.get("grid", F.lit(left)) if left > 0 else F.col("least")
-        hi = F.get("grid", F.lit(right)) if right < _GRID else F.col("most")
-        slots.append(F.struct(F.lit(i).alias("slot"), lo.alias("lo"), hi.alias("hi")))
-    return grid.select(*keys, "n", F.array(*slots).alias("slots"))
+        lo = F.kll_sketch_get_quantile_double("sketch", F.lit(left / _GRID)) if left > 0 else F.col("least")
+        hi = F.kll_sketch_get_quantile_double("sketch", F.lit(right / _GRID)) if right < _GRID else F.col("most")
+        bounds += [lo.alias(f"lo{j}"), hi.alias(f"hi{j}")]
+    return merged.select(*keys, "n", *bounds)
 
 
 def _search(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: int) -> DataFrame:
+    """``keys..., prob, value``; a value is NULL when its bracket missed the rank."""
     brackets = stage(_brackets(long, keys, probs, margin), "brackets")
-    # Below the bracket only the count matters (value NULL); inside, each value.
-    seen = F.explode(
-        F.filter(
-            F.transform(
-                "slots",
-                lambda s: F.struct(
-                    s["slot"].alias("slot"),
-                    F.when(F.col("value") >= s["lo"], F.col("value")).alias("v"),
-                    (F.col("value") <= s["hi"]).alias("keep"),
-                ),
-            ),
-            lambda s: s["keep"],
+    # Below a bracket only the count matters (v NULL); inside it, each value.
+    seen = [
+        F.struct(
+            F.lit(j).alias("which"),
+            F.when(F.col("value") >= F.col(f"lo{j}"), F.col("value")).alias("v"),
+            (F.col("value") <= F.col(f"hi{j}")).alias("keep"),
         )
-    ).alias("s")
+        for j in range(len(probs))
+    ]
     counted = (
         long.join(brackets, list(keys))
-        .select(*keys, seen)
-        .groupBy(*keys, F.col("s.slot").alias("slot"), F.col("s.v").alias("v"))
+        .select(*keys, F.inline(F.array(*seen)))
+        .where("keep")
+        .groupBy(*keys, "which", "v")
         .agg(F.count("*").alias("c"))
     )
     ranged = stage(
-        counted.repartitionByRange(*keys, "slot", F.asc_nulls_first("v")).withColumn("part", F.spark_partition_id()),
+        counted.repartitionByRange(*keys, "which", F.asc_nulls_first("v")).withColumn("part", F.spark_partition_id()),
         "ranks",
     )
-    # Partition totals are at most one row per key, slot and partition.
-    order = W.partitionBy(*keys, "slot").orderBy("part")
+    # at most one row per key, rank and partition
+    order = W.partitionBy(*keys, "which").orderBy("part")
     totals = (
-        ranged.groupBy(*keys, "slot", "part")
-        .agg(F.sum("c").alias("held"), F.sum(F.when(F.col("v").isNull(), F.col("c"))).alias("under"))
+        ranged.groupBy(*keys, "which", "part")
+        .agg(F.sum("c").alias("held"))
         .withColumn("upto", F.sum("held").over(order))
         .withColumn("before", F.col("upto") - F.col("held"))
-        .withColumn("below", F.coalesce(F.sum("under").over(W.partitionBy(*keys, "slot")), F.lit(0)))
     )
-    position = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("slot") + 1) * (F.col("n") - 1)
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("which") + 1)
     wanted = (
         totals.join(brackets.select(*keys, "n"), list(keys))
-        .withColumn("position", position)
+        .withColumn("position", prob * (F.col("n") - 1))
         .withColumn("r_lo", F.floor("position"))
         .withColumn("r_hi", F.ceil("position"))
         .where((F.col("r_hi") >= F.col("before")) & (F.col("r_lo") < F.col("upto")))
     )
-    inside = W.partitionBy(*keys, "slot", "part").orderBy(F.asc_nulls_first("v"))
+    inside = W.partitionBy(*keys, "which", "part").orderBy(F.asc_nulls_first("v"))
     ranked = (
-        ranged.join(wanted, [*keys, "slot", "part"])
+        ranged.join(wanted, [*keys, "which", "part"])
         .withColumn("end", F.col("before") + F.sum("c").over(inside))
         .withColumn("start", F.col("end") - F.col("c"))
     )
 
-    def value_at(rank: str):
+    def value_at(rank: str) -> Column:
         hit = F.col("v").isNotNull() & (F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("end"))
         return F.max(F.when(hit, F.col("v")))
 
-    picked = ranked.groupBy(*keys, "slot").agg(
-        F.first("position").alias("position"),
-        value_at("r_lo").alias("x_lo"),
-        value_at("r_hi").alias("x_hi"),
-    )
-    lower = F.floor("position")
-    share = F.col("position") - lower
-    value = F.when(F.col("x_lo") == F.col("x_hi"), F.col("x_lo")).otherwise(
-        (lower + 1 - F.col("position")) * F.col("x_lo") + share * F.col("x_hi")
+    picked = ranked.groupBy(*keys, "which").agg(
+        F.first("position").alias("position"), value_at("r_lo").alias("low"), value_at("r_hi").alias("high")
     )
-    # x_lo or x_hi is NULL when the bracket missed the rank
-    return brackets.select(*keys, F.explode("slots").alias("s")).select(
-        *keys, F.col("s.slot").alias("slot")
-    ).join(picked, [*keys, "slot"], "left").select(*keys, "slot", value.alias("value"))
+    value = F.expr(_interpolated("position", "low", "high"))
+    every = brackets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("which"))
+    return every.join(picked, [*keys, "which"], "left").select(*keys, prob.alias("prob"), value.alias("value"))
 
 
 def quantiles(
@@ -168,16 +168,17 @@ def quantiles(
         raise ValueError("no numeric columns given")
     if rows is None:
         rows = df.count()
-    if rows * len(columns) <= cfg.quantile_inline_values:
-        return _inline(df, columns, probs, by)
     long = _long(df, columns, by)
-    keys = [*by, "column"]
-    for margin in _MARGINS:
-        found = stage(_search(long, keys, probs, margin), "quantiles")
-        if found.where(F.col("value").isNull()).isEmpty():
-            break
-    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("slot") + 1)
-    return found.select(*keys, at.alias("prob"), "value")
+    keys = [*by, "slot"]
+    if rows <= cfg.quantile_inline_rows:
+        found = _ranked(long, keys, probs)
+    else:
+        for margin in _MARGINS:
+            found = stage(_search(long, keys, probs, margin), "quantiles")
+            if found.where(F.col("value").isNull()).isEmpty():
+                break
+    names = ", ".join(text(c) for c in columns)
+    return found.selectExpr(*[ident(b) for b in by], f"element_at(array({names}), slot + 1) AS column", "prob", "value")
 
 
 def quantile_values(

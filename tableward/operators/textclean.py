@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import TEXT, col, columns_of_class, data_columns
-from tableward.functions.scalars import INTEGER_SHAPE, datetime_or_null, number_or_null, tidy_text
+from tableward.functions.columns import TEXT, col, columns_of_class, data_columns, ident, text
+from tableward.functions.scalars import INTEGER_SHAPE, datetime_or_null, datetime_sql, number_or_null, number_sql, tidy_text
 
 _PROBE_ROWS = 1000
 
@@ -35,9 +33,9 @@ def datetime_formats(
         if not pairs:
             return []
         names = list(dict.fromkeys(c for c, _ in pairs))
-        row = frame.agg(
-            *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)],
-            *[F.count(datetime_or_null(col(c), *f)).alias(f"p{i}") for i, (c, f) in enumerate(pairs)],
+        row = frame.selectExpr(
+            *[f"count({ident(c)}) AS n{i}" for i, c in enumerate(names)],
+            *[f"count({datetime_sql(ident(c), *f)}) AS p{i}" for i, (c, f) in enumerate(pairs)],
         ).first()
         held = {c: row[f"n{i}"] for i, c in enumerate(names)}
         return [pair for i, pair in enumerate(pairs) if row[f"p{i}"] == held[pair[0]]]
@@ -54,7 +52,7 @@ def datetime_formats(
     if not left:
         return {}
     # an all-null column agrees with every format and is no date
-    held = narrow.agg(*[F.count(col(c)).alias(c) for c in dict.fromkeys(c for c, _ in left)]).first().asDict()
+    held = narrow.selectExpr(*[f"count({ident(c)}) AS {ident(c)}" for c in dict.fromkeys(c for c, _ in left)]).first()
     left = [(c, f) for c, f in left if held[c]]
     chosen: dict[str, tuple[str, str]] = {}
     for i in range(0, len(left), per_job):
@@ -78,9 +76,8 @@ def numeric_text_columns(df: DataFrame, columns: Sequence[str], cfg: QualityConf
     """Text columns in which more than the configured share of rows are numbers."""
     if not columns:
         return []
-    row = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count(number_or_null(col(c))).alias(f"n{i}") for i, c in enumerate(columns)],
+    row = df.selectExpr(
+        "count(*) AS rows", *[f"count({number_sql(ident(c))}) AS n{i}" for i, c in enumerate(columns)]
     ).first()
     return [c for i, c in enumerate(columns) if row["rows"] and row[f"n{i}"] / row["rows"] > cfg.numeric_share]
 
@@ -112,14 +109,14 @@ def infer_reader_types(
         return df
     aggs = []
     for i, c in enumerate(names):
-        v = col(c)
+        v = ident(c)
         aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.count_if(v.rlike(INTEGER_SHAPE)).alias(f"i{i}"),
-            F.count(number_or_null(v)).alias(f"d{i}"),
-            F.count_if(v.isin("true", "false", "True", "False", "TRUE", "FALSE")).alias(f"b{i}"),
+            f"count({v}) AS n{i}",
+            f"count_if({v} RLIKE {text(INTEGER_SHAPE)}) AS i{i}",
+            f"count({number_sql(v)}) AS d{i}",
+            f"count_if({v} IN ('true', 'false', 'True', 'False', 'TRUE', 'FALSE')) AS b{i}",
         ]
-    row = df.agg(*aggs).first()
+    row = df.selectExpr(*aggs).first()
     casts = {}
     for i, c in enumerate(names):
         n = row[f"n{i}"]

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import col, data_columns, nan_to_null
+from tableward.functions.columns import col, data_columns, ident, nan_to_null, text
 from tableward.functions.names import rename_for_cleaning
 from tableward.functions.scalars import instant
-from tableward.operators.assess import quality_report
+from tableward.operators.assess import quality_report, type_of_column
 from tableward.operators.dedupe import drop_duplicates
 from tableward.operators.missing import impute, null_counts, sparse_columns
 from tableward.operators.outliers import handle_outliers
@@ -25,8 +25,8 @@ def row_completeness(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
     names = data_columns(df, cfg, exclude=cfg.indicator_cols)
     if not names:
         return df
-    held = sum((col(c).isNotNull().cast("int") for c in names), F.lit(0))
-    return df.withColumn("completeness_score", F.round(held / F.lit(len(names)) * 100, 2))
+    held = " + ".join(f"CAST({ident(c)} IS NOT NULL AS INT)" for c in names)
+    return df.withColumn("completeness_score", F.expr(f"round(({held}) / {len(names)} * 100, 2)"))
 
 
 def add_indicators(df: DataFrame, cfg: QualityConfig = DEFAULTS, now: datetime | str | None = None) -> DataFrame:
@@ -70,12 +70,10 @@ def clean(
 def column_stats(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
     """Counts per column of a cleaned table, long form."""
     names = data_columns(df, cfg)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    kinds = F.create_map(*[F.lit(x) for n in names for x in (n, types[n])])
     counts = measure(nan_to_null(df), names, BASE, cfg)
     return counts.join(F.broadcast(distinct_counts(nan_to_null(df), names)), "column", "left").select(
         "column",
-        kinds[F.col("column")].alias("data_type"),
+        F.expr(type_of_column(df)).alias("data_type"),
         "non_null_count",
         (F.col("total_count") - F.col("non_null_count")).alias("null_count"),
         F.coalesce("unique_values", F.lit(0)).alias("unique_values"),
@@ -117,11 +115,11 @@ def cleaning_summary(
             )
         ).alias("m")
     )
-    types = F.create_map(*[F.lit(x) for f in cleaned.schema.fields for x in (f.name, f.dataType.simpleString())])
+    types = ", ".join(f"{text(f.name)}, {text(f.dataType.simpleString())}" for f in cleaned.schema.fields)
     return (
         row_summary(original, cleaned)
         .withColumn("quality_report", report.select(F.struct(*report.columns).alias("r")).scalar())
         .withColumn("cleaning_timestamp", instant(now))
-        .withColumn("data_types", types)
+        .withColumn("data_types", F.expr(f"map({types})"))
         .withColumn("column_stats", as_map.scalar())
     )
