@@ -169,14 +169,18 @@ def quantiles(
     if rows is None:
         rows = df.count()
     long = _long(df, columns, by)
-    keys = [*by, "slot"]
     if rows <= cfg.quantile_inline_rows:
-        found = _ranked(long, keys, probs)
+        found = _ranked(long, [*by, "slot"], probs)
     else:
+        # one struct for the group: structs also match on missing fields when joined
+        packed = long.select(F.struct(*[col(b) for b in by]).alias("_by"), "slot", "value") if by else long
+        keys = ["_by", "slot"] if by else ["slot"]
         for margin in _MARGINS:
-            found = stage(_search(long, keys, probs, margin), "quantiles")
+            found = stage(_search(packed, keys, probs, margin), "quantiles")
             if found.where(F.col("value").isNull()).isEmpty():
                 break
+        if by:
+            found = found.select("_by.*", "slot", "prob", "value")
     names = ", ".join(text(c) for c in columns)
     return found.selectExpr(*[ident(b) for b in by], f"element_at(array({names}), slot + 1) AS column", "prob", "value")
 

@@ -109,6 +109,7 @@ def read_summary(spark: SparkSession, root: str, dataset: str, schema: T.StructT
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Header and comma; nested columns as JSON text."""
+    df = _storable(df)
     flat = df.select(
         *[
             F.to_json(col(f.name)).alias(f.name)

@@ -164,7 +164,8 @@ def file_stream(spark: SparkSession, source: str, max_files: int | None = None)
     A rewritten file does not come again here; the batch cycle, which compares
     modification times, finds those.
     """
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    fields = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(fields).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     listed = reader.load(source).select("path", "modificationTime", "length")

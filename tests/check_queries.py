@@ -13,7 +13,7 @@ def main() -> int:
     only = sys.argv[2:]
     spark = session.build(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "10g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "10g"},
     )
     spark.sparkContext.setLogLevel("OFF")
     sf_dir = f"{TESTDATA}/{sf}"
