@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import col, compact_key, data_columns
@@ -33,6 +34,9 @@ def drop_duplicates(
     if not names:
         return df
     if not order_by:
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        if not any(isinstance(kinds[c], (T.MapType, T.VariantType)) for c in names):
+            return df.dropDuplicates(names)
         any_row = F.any_value(F.struct(*[col(c) for c in df.columns])).alias("_first")
         return df.groupBy(*_keys(df, names)).agg(any_row).select("_first.*")
     rest = [c for c in df.columns if c not in order_by]

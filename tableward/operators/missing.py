@@ -136,9 +136,9 @@ def forward_fill(
 
     A partition key may hold a large part of the table, so its rows are not
     brought into one task.  Rows are range-partitioned by key and order and
-    filled inside each range; the last value of each range is then carried into
-    the following ranges of the same key through a table with one row per key
-    and range.
+    filled inside each range.  Only the first key of a range can go on from the
+    range before it, so what has to be carried over is at most one row per
+    range, and that table is broadcast.
     """
     if not partition_by:
         raise ValueError("forward_fill needs partition_by")
@@ -163,12 +163,13 @@ def forward_fill(
             *[col(k).alias(f"_k{i}") for i, k in enumerate(partition_by)],
             *[F.last(f"_l{i}", ignorenulls=True).over(earlier).alias(f"_c{i}") for i in range(len(columns))],
         )
+        .where(" OR ".join(f"_c{i} IS NOT NULL" for i in range(len(columns))))
     )
     local = ranged.withColumns({f"_f{i}": F.last(col(c), ignorenulls=True).over(here) for i, c in enumerate(columns)})
     same = F.col("_part") == F.col("_p")
     for i, k in enumerate(partition_by):
         same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = local.join(carried, same, "left")
+    joined = local.join(F.broadcast(carried), same, "left")
     slot = {c: i for i, c in enumerate(columns)}
     return joined.select(
         *[

@@ -100,7 +100,10 @@ def infer_types(
 
 
 def infer_reader_types(
-    df: DataFrame, cfg: QualityConfig = DEFAULTS, columns: Sequence[str] | None = None
+    df: DataFrame,
+    cfg: QualityConfig = DEFAULTS,
+    columns: Sequence[str] | None = None,
+    drop_empty: bool = False,
 ) -> DataFrame:
     """Types a text file's columns would get on load: whole numbers, numbers,
     booleans, when every value present fits; otherwise text."""
@@ -117,10 +120,11 @@ def infer_reader_types(
             f"count_if({v} IN ('true', 'false', 'True', 'False', 'TRUE', 'FALSE')) AS b{i}",
         ]
     row = df.selectExpr(*aggs).first()
-    casts = {}
+    casts, empty = {}, []
     for i, c in enumerate(names):
         n = row[f"n{i}"]
         if not n:
+            empty.append(c)
             continue
         if row[f"i{i}"] == n:
             casts[c] = col(c).try_cast("bigint")
@@ -128,4 +132,5 @@ def infer_reader_types(
             casts[c] = number_or_null(col(c))
         elif row[f"b{i}"] == n:
             casts[c] = col(c).try_cast("boolean")
-    return df.withColumns(casts) if casts else df
+    typed = df.withColumns(casts) if casts else df
+    return typed.drop(*empty) if drop_empty else typed

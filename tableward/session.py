@@ -21,7 +21,6 @@ def build(app: str = "tableward", master: str | None = None, **conf: str) -> Spa
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.parquet.aggregatePushdown": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

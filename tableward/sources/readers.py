@@ -24,6 +24,7 @@ from tableward.functions.scalars import WHITESPACE, strip
 from tableward.operators.explore import flatten
 from tableward.operators.missing import replace_null_tokens
 from tableward.operators.textclean import infer_reader_types
+from tableward.session import stage
 from tableward.sources.excel import read_sheets
 
 LATIN = "ISO-8859-1"
@@ -48,6 +49,7 @@ class Loaded:
     paths: list[str]
     rows: DataFrame | None
     errors: dict[str, str] = field(default_factory=dict)
+    trimmed: bool = False  # columns without a value are gone already
 
 
 def file_path() -> Column:
@@ -80,28 +82,29 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _fields(line: Column, sep: str) -> Column:
-    """Separators outside quotes."""
-    bare = F.regexp_replace(line, '"[^"]*"', "")
-    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(sep), F.lit("")))
+def _unquoted(line: Column) -> Column:
+    return F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+
+
+def _count(line: Column, mark: str) -> Column:
+    return F.char_length(line) - F.char_length(F.replace(line, F.lit(mark), F.lit("")))
 
 
 def sniff(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Encoding, first line, and field counts of each text file, in one pass."""
-    lines = _lines(spark, paths)
+    lines = _lines(spark, paths).withColumn("bare", _unquoted(F.col("value")))
     filled = F.btrim("value", F.lit(WHITESPACE)) != ""
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
     seps = (",", *TEXT_DELIMITERS)
     found = lines.groupBy("path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.min_by("value", F.when(filled, F.struct("block", "at"))).alias("first"),
-        F.bool_or(quotes % 2 == 1).alias("open_quotes"),
-        *[F.max(_fields(F.col("value"), s)).alias(f"most_{i}") for i, s in enumerate(seps)],
+        F.bool_or(_count(F.col("value"), '"') % 2 == 1).alias("open_quotes"),
+        *[F.max(_count(F.col("bare"), s)).alias(f"most_{i}") for i, s in enumerate(seps)],
     )
     header = F.regexp_replace(_decoded(F.col("first"), F.col("utf8")), "^\ufeff|\r$", "")
     for i, s in enumerate(seps):
         in_first = F.contains(header, F.lit(s))
-        fits = F.col("open_quotes") | (F.col(f"most_{i}") <= _fields(header, s))
+        fits = F.col("open_quotes") | (F.col(f"most_{i}") <= _count(_unquoted(header), s))
         found = found.withColumn(f"in_{i}", in_first).withColumn(f"fits_{i}", fits)
     text_sep = F.coalesce(
         *[F.when(F.col(f"in_{i}") & F.col(f"fits_{i}"), F.lit(s)) for i, s in enumerate(seps) if i],
@@ -140,9 +143,14 @@ def read_delimited(
 
 
 def with_reader_types(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
-    """What a typed text reader adds: its own null markers, numbers, booleans."""
+    """What a typed text reader adds: null markers, numbers, booleans.
+
+    The pass that finds the types also finds columns without a value; they are
+    dropped here, which saves the ingest flow a pass of its own.
+    """
     names = [c for c in df.columns if c != PATH]
-    return infer_reader_types(replace_null_tokens(df, cfg, CSV_NULL_TOKENS, names), cfg, names)
+    marks = tuple(dict.fromkeys((*CSV_NULL_TOKENS, *cfg.null_tokens)))
+    return infer_reader_types(replace_null_tokens(df, cfg, marks, names), cfg, names, drop_empty=True)
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
@@ -226,7 +234,8 @@ def split_lines(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFra
 def read_excel(spark: SparkSession, paths: Sequence[str]) -> Iterator[tuple[str, list[str], DataFrame | None, dict[str, str]]]:
     """Workbooks by header: header, files, rows, errors."""
     files = spark.read.format("binaryFile").load(literal(paths))
-    rows = read_sheets(files, min(len(paths), 10_000))
+    # each workbook is parsed once, then read by header
+    rows = stage(read_sheets(files, min(len(paths), 10_000)), "sheets")
     heads = rows.groupBy("path").agg(F.max("header").alias("header"), F.max("error_message").alias("error_message")).collect()
     errors = {r["path"]: r["error_message"] for r in heads if r["error_message"]}
     by_header: dict[str, list[str]] = {}
@@ -299,7 +308,7 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
     for dataset, paths in sheets.items():
         for header, members, rows, errors in read_excel(spark, paths):
             typed = None if rows is None else with_reader_types(rows, cfg)
-            yield Loaded(dataset, Layout("excel", "", "", header), [] if errors else members, typed, errors)
+            yield Loaded(dataset, Layout("excel", "", "", header), [] if errors else members, typed, errors, True)
     if failed:
         for dataset in sorted({home[p] for p in failed}):
             yield Loaded(dataset, Layout("none"), [], None, {p: m for p, m in failed.items() if home[p] == dataset})
@@ -308,9 +317,9 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
 def _load_group(spark: SparkSession, dataset: str, layout: Layout, paths: list[str], cfg: QualityConfig) -> Loaded:
     if layout.kind == "csv":
         rows = with_reader_types(read_delimited(spark, paths, layout, cfg), cfg)
-        return Loaded(dataset, layout, paths, rows)
+        return Loaded(dataset, layout, paths, rows, trimmed=True)
     if layout.kind == "lines":
-        return Loaded(dataset, layout, paths, read_plain_text(spark, paths))
+        return Loaded(dataset, layout, paths, read_plain_text(spark, paths), trimmed=True)
     if layout.kind == "json_objects":
         rows, broken = read_json(spark, paths, layout.encoding)
         bad = {r["path"]: "invalid JSON" for r in broken.collect()}

@@ -23,7 +23,7 @@ from tableward.operators import status as St
 from tableward.operators.missing import replace_null_tokens
 from tableward.operators.textclean import clean_text
 from tableward.plans.cleaning import add_indicators, clean, cleaning_summary
-from tableward.plans.ingest import normalise
+from tableward.plans.ingest import normalise, normalise_rows
 from tableward.session import stage
 from tableward.sources import manifest as Mf
 from tableward.sources import sinks
@@ -83,7 +83,8 @@ def run_ingest(
                 try:
                     file = F.expr(f"substring({PATH}, {len(base) + 2})")
                     rows = part.rows.withColumn("source_file", file).drop(PATH)
-                    sinks.write_raw(normalise(rows, label, cfg, now), root, part.dataset)
+                    flow = normalise_rows if part.trimmed else normalise
+                    sinks.write_raw(flow(rows, label, cfg, now), root, part.dataset)
                 except Exception as e:  # isolate the layout
                     errors |= {p: f"{type(e).__name__}: {str(e)[:500]}" for p in part.paths}
             done = [p for p in part.paths if p not in errors]
