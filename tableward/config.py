@@ -82,9 +82,9 @@ class QualityConfig:
     ingest_trigger: str = "15 minutes"
     clean_trigger: str = "10 minutes"
 
-    # Exact quantiles: up to this many rows, a window ranks each column's distinct
+    # Exact quantiles: up to this many rows, a window ranks a column's distinct
     # values; above it the distributed search takes over.
-    quantile_inline_rows: int = 5_000_000
+    quantile_inline_rows: int = 200_000
     # Aggregate expressions put into a single job before it is split.
     max_aggs_per_job: int = 400
 

@@ -1,18 +1,18 @@
 """Exact, linearly interpolated quantiles that do not depend on one task.
 
 ``percentile`` keeps a value -> count map of everything it has seen in a single
-reducer, for all columns together.  Here the counts are an ordinary aggregate:
-one row per key and distinct value, combined on the map side, so a hot value is
-one row however often it occurs.
-
-* While the number of rows has a known bound, each key's distinct values are
-  ranked by a window that spills if it must.
-* Beyond the bound the search is distributed.  A mergeable sketch per key,
-  merged in two levels so that no reducer receives one sketch per map task,
-  gives a bracket around each wanted rank.  One pass counts the values below
-  each bracket and builds the counts inside it.  These are range-partitioned
-  and staged; sums per partition locate the one that holds the rank, and only
-  that partition is ranked.
+reducer.  That map grows with the data, so it is not used here.
+
+* Few rows (a configured bound): counts per distinct value, which map-side
+  aggregation keeps to one row however hot a value is, ranked by a window per
+  column or group.
+* More rows: a sketch per column gives a bracket around each wanted rank.  The
+  sketches are merged in two levels, so that no reducer receives one per map
+  task.  One pass counts the values below and inside each bracket; another
+  takes out the values inside, a fixed small share of the rows, as counts per
+  distinct value.  These are ranked by a window while they are few; beyond that
+  they are range-partitioned and staged, sums per partition locate the one that
+  holds the rank, and only that partition is ranked.
 
 The sketch decides only where to look.  Counts decide the answer, and a bracket
 that misses its rank is widened, in the end to the whole range.
@@ -20,9 +20,10 @@ that misses its rank is widened, in the end to the whole range.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,10 +31,10 @@ from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import col, ident, number, text
 from tableward.session import stage
 
-_GRID = 500
 _SKETCH_K = 2000
 _MERGE_SALTS = 64
-_MARGINS = (2, 16, _GRID)
+# Width of a bracket to either side of the rank, as a share of the rows.
+_MARGINS = (0.004, 0.04, 1.0)
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -70,7 +71,7 @@ def _ranked(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> Dat
     return found.selectExpr(*[ident(k) for k in keys], f"inline(array({cells}))")
 
 
-def _brackets(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: int) -> DataFrame:
+def _brackets(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: float) -> DataFrame:
     """Per key: number of values, and ``lo``/``hi`` around each wanted rank."""
     salted = (
         long.withColumn("salt", F.spark_partition_id() % _MERGE_SALTS)
@@ -88,71 +89,152 @@ def _brackets(long: DataFrame, keys: Sequence[str], probs: Sequence[float], marg
         F.min("least").alias("least"),
         F.max("most").alias("most"),
     )
-    bounds = []
-    for j, p in enumerate(probs):
-        left, right = int(p * _GRID) - margin, int(p * _GRID) + 1 + margin
-        lo = F.kll_sketch_get_quantile_double("sketch", F.lit(left / _GRID)) if left > 0 else F.col("least")
-        hi = F.kll_sketch_get_quantile_double("sketch", F.lit(right / _GRID)) if right < _GRID else F.col("most")
-        bounds += [lo.alias(f"lo{j}"), hi.alias(f"hi{j}")]
+    bounds = [
+        F.expr(f"{e} AS {n}{j}") for j, p in enumerate(probs) for n, e in zip(("lo", "hi"), _bounds("", p, margin))
+    ]
     return merged.select(*keys, "n", *bounds)
 
 
-def _search(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: int) -> DataFrame:
-    """``keys..., prob, value``; a value is NULL when its bracket missed the rank."""
+def _bounds(suffix: str, p: float, margin: float) -> tuple[str, str]:
+    """SQL for the ends of a bracket, from a sketch and the extremes."""
+    at = "kll_sketch_get_quantile_double(sketch{}, {})".format
+    lo = at(suffix, number(p - margin)) if p - margin > 0 else f"least{suffix}"
+    hi = at(suffix, number(p + margin)) if p + margin < 1 else f"most{suffix}"
+    return lo, hi
+
+
+def _search(long: DataFrame, keys: Sequence[str], probs: Sequence[float], margin: float) -> DataFrame:
+    """``keys..., prob, value`` per group; a value is NULL when its bracket missed the rank."""
     brackets = stage(_brackets(long, keys, probs, margin), "brackets")
     # Below a bracket only the count matters (v NULL); inside it, each value.
-    seen = [
-        F.struct(
-            F.lit(j).alias("which"),
-            F.when(F.col("value") >= F.col(f"lo{j}"), F.col("value")).alias("v"),
-            (F.col("value") <= F.col(f"hi{j}")).alias("keep"),
-        )
+    seen = ", ".join(
+        f"named_struct('which', {j}, 'v', CASE WHEN value >= lo{j} THEN value END, 'keep', value <= hi{j})"
         for j in range(len(probs))
-    ]
+    )
     counted = (
         long.join(brackets, list(keys))
-        .select(*keys, F.inline(F.array(*seen)))
+        .selectExpr(*keys, f"inline(array({seen}))")
         .where("keep")
         .groupBy(*keys, "which", "v")
         .agg(F.count("*").alias("c"))
     )
+    prob = f"element_at(array({', '.join(map(number, probs))}), which + 1)"
+    wanted = brackets.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("which")).selectExpr(
+        *keys, "which", f"{prob} * (n - 1) AS position"
+    )
+    found = _locate(counted, wanted, [*keys, "which"])
+    return wanted.join(found, [*keys, "which"], "left").selectExpr(*keys, f"{prob} AS prob", "value")
+
+
+_HIT = "max(CASE WHEN v IS NOT NULL AND {0}(position) >= end - c AND {0}(position) < end THEN v END) AS {1}"
+
+
+def _pick(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The value at each position, from counts with their running total ``end``."""
+    hits = [F.expr(_HIT.format("floor", "low")), F.expr(_HIT.format("ceil", "high"))]
+    return ranked.groupBy(*keys).agg(F.first("position").alias("position"), *hits).selectExpr(
+        *keys, f"{_interpolated('position', 'low', 'high')} AS value"
+    )
+
+
+def _locate(counted: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys..., value`` at the wanted positions, from counts of any number of values."""
     ranged = stage(
-        counted.repartitionByRange(*keys, "which", F.asc_nulls_first("v")).withColumn("part", F.spark_partition_id()),
-        "ranks",
+        counted.repartitionByRange(*keys, F.asc_nulls_first("v")).withColumn("part", F.spark_partition_id()), "ranks"
     )
-    # at most one row per key, rank and partition
-    order = W.partitionBy(*keys, "which").orderBy("part")
+    # at most one row per key and partition
     totals = (
-        ranged.groupBy(*keys, "which", "part")
+        ranged.groupBy(*keys, "part")
         .agg(F.sum("c").alias("held"))
-        .withColumn("upto", F.sum("held").over(order))
+        .withColumn("upto", F.sum("held").over(W.partitionBy(*keys).orderBy("part")))
         .withColumn("before", F.col("upto") - F.col("held"))
     )
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("which") + 1)
-    wanted = (
-        totals.join(brackets.select(*keys, "n"), list(keys))
-        .withColumn("position", prob * (F.col("n") - 1))
-        .withColumn("r_lo", F.floor("position"))
-        .withColumn("r_hi", F.ceil("position"))
-        .where((F.col("r_hi") >= F.col("before")) & (F.col("r_lo") < F.col("upto")))
-    )
-    inside = W.partitionBy(*keys, "which", "part").orderBy(F.asc_nulls_first("v"))
-    ranked = (
-        ranged.join(wanted, [*keys, "which", "part"])
-        .withColumn("end", F.col("before") + F.sum("c").over(inside))
-        .withColumn("start", F.col("end") - F.col("c"))
-    )
+    holding = totals.join(wanted, list(keys)).where("ceil(position) >= before AND floor(position) < upto")
+    inside = W.partitionBy(*keys, "part").orderBy(F.asc_nulls_first("v"))
+    ranked = ranged.join(holding, [*keys, "part"]).withColumn("end", F.col("before") + F.sum("c").over(inside))
+    return _pick(ranked, keys)
 
-    def value_at(rank: str) -> Column:
-        hit = F.col("v").isNotNull() & (F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("end"))
-        return F.max(F.when(hit, F.col("v")))
 
-    picked = ranked.groupBy(*keys, "which").agg(
-        F.first("position").alias("position"), value_at("r_lo").alias("low"), value_at("r_hi").alias("high")
+def _search_columns(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], cfg: QualityConfig, margin: float
+) -> dict[tuple[str, float], float | None]:
+    """Quantiles of whole columns; those whose bracket missed the rank are left out."""
+    narrow = df.selectExpr(
+        *[f"nanvl(CAST({ident(c)} AS DOUBLE), NULL) AS v{i}" for i, c in enumerate(columns)],
     )
-    value = F.expr(_interpolated("position", "low", "high"))
-    every = brackets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("which"))
-    return every.join(picked, [*keys, "which"], "left").select(*keys, prob.alias("prob"), value.alias("value"))
+    spots = range(len(columns))
+    sketches = (
+        narrow.selectExpr("*", f"spark_partition_id() % {_MERGE_SALTS} AS salt")
+        .groupBy("salt")
+        .agg(
+            *[
+                F.expr(e.format(i=i))
+                for i in spots
+                for e in (
+                    f"kll_sketch_agg_double(v{{i}}, {_SKETCH_K}) AS sketch{{i}}", "count(v{i}) AS n{i}",
+                    "min(v{i}) AS least{i}", "max(v{i}) AS most{i}",
+                )
+            ]
+        )
+        .selectExpr(
+            *[
+                e.format(i=i)
+                for i in spots
+                for e in (
+                    f"kll_merge_agg_double(sketch{{i}}, {_SKETCH_K}) AS sketch{{i}}", "sum(n{i}) AS n{i}",
+                    "min(least{i}) AS least{i}", "max(most{i}) AS most{i}",
+                )
+            ]
+        )
+    )
+    ends = [
+        f"CASE WHEN n{i} > 0 THEN {e} END AS {n}{i}_{j}"
+        for i in spots
+        for j, p in enumerate(probs)
+        for n, e in zip(("lo", "hi"), _bounds(str(i), p, margin))
+    ]
+    row = sketches.selectExpr(*[f"n{i}" for i in spots], *ends).first()
+    out: dict[tuple[str, float], float | None] = {}
+    brackets = []  # column position, probability, position in order, ends
+    for i in spots:
+        for j, p in enumerate(probs):
+            if not row[f"n{i}"]:
+                out[columns[i], p] = None
+            else:
+                brackets.append((i, p, float(p) * (row[f"n{i}"] - 1), row[f"lo{i}_{j}"], row[f"hi{i}_{j}"]))
+    if not brackets:
+        return out
+    tests = [f"v{i} BETWEEN {number(lo)} AND {number(hi)}" for i, _, _, lo, hi in brackets]
+    sizes = narrow.selectExpr(
+        *[f"count_if(v{i} < {number(lo)}) AS below{w}" for w, (i, _, _, lo, _) in enumerate(brackets)],
+        *[f"count_if({t}) AS inside{w}" for w, t in enumerate(tests)],
+    ).first()
+    good = [
+        w for w, (_, _, at, _, _) in enumerate(brackets)
+        if sizes[f"below{w}"] <= math.floor(at) and math.ceil(at) < sizes[f"below{w}"] + sizes[f"inside{w}"]
+    ]
+    if not good:
+        return out
+    cells = ", ".join(f"named_struct('which', {w}, 'v', CASE WHEN {tests[w]} THEN v{brackets[w][0]} END)" for w in good)
+    counted = (
+        narrow.where(" OR ".join(f"({tests[w]})" for w in good))
+        .selectExpr(f"inline(array({cells}))")
+        .where("v IS NOT NULL")
+        .groupBy("which", "v")
+        .agg(F.count("*").alias("c"))
+    )
+    # positions within the bracket: the values below it are known by number only
+    at = ", ".join(f"{w}, {number(brackets[w][2] - sizes[f'below{w}'])}" for w in good)
+    if max(sizes[f"inside{w}"] for w in good) <= cfg.quantile_inline_rows:
+        order = W.partitionBy("which").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+        found = _pick(counted.selectExpr("*", f"map({at})[which] AS position").withColumn("end", F.sum("c").over(order)), ["which"])
+    else:
+        wanted = df.sparkSession.range(len(brackets)).selectExpr("CAST(id AS INT) AS which", f"map({at})[CAST(id AS INT)] AS position")
+        found = _locate(counted, wanted.where("position IS NOT NULL"), ["which"])
+    for r in found.collect():  # one row per column and probability
+        i, p = brackets[r["which"]][:2]
+        out[columns[i], p] = r["value"]
+    return out
 
 
 def quantiles(
@@ -168,23 +250,45 @@ def quantiles(
         raise ValueError("no numeric columns given")
     if rows is None:
         rows = df.count()
-    long = _long(df, columns, by)
+    names = ", ".join(text(c) for c in columns)
     if rows <= cfg.quantile_inline_rows:
-        found = _ranked(long, [*by, "slot"], probs)
-    else:
+        found = _ranked(_long(df, columns, by), [*by, "slot"], probs)
+    elif by:
         # one struct for the group: structs also match on missing fields when joined
-        packed = long.select(F.struct(*[col(b) for b in by]).alias("_by"), "slot", "value") if by else long
-        keys = ["_by", "slot"] if by else ["slot"]
+        packed = _long(df, columns, by).select(F.struct(*[col(b) for b in by]).alias("_by"), "slot", "value")
         for margin in _MARGINS:
-            found = stage(_search(packed, keys, probs, margin), "quantiles")
+            found = stage(_search(packed, ["_by", "slot"], probs, margin), "quantiles")
             if found.where(F.col("value").isNull()).isEmpty():
                 break
-        if by:
-            found = found.select("_by.*", "slot", "prob", "value")
-    names = ", ".join(text(c) for c in columns)
+        found = found.select("_by.*", "slot", "prob", "value")
+    else:
+        cells = ", ".join(
+            f"named_struct('column', {text(c)}, 'prob', {number(p)}, 'value', {number(v)})"
+            for (c, p), v in _whole_columns(df, columns, probs, cfg).items()
+            if v is not None
+        )
+        if cells:
+            return df.sparkSession.range(1).selectExpr(f"inline(array({cells}))")
+        return df.sparkSession.createDataFrame([], "column string, prob double, value double")
     return found.selectExpr(*[ident(b) for b in by], f"element_at(array({names}), slot + 1) AS column", "prob", "value")
 
 
+def _whole_columns(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], cfg: QualityConfig
+) -> dict[tuple[str, float], float | None]:
+    """The column search, a few columns per job, widening brackets that missed."""
+    out: dict[tuple[str, float], float | None] = {}
+    width = max(1, cfg.max_aggs_per_job // (4 * len(probs)))
+    for start in range(0, len(columns), width):
+        left = list(columns[start : start + width])
+        for margin in _MARGINS:
+            out |= _search_columns(df, left, probs, cfg, margin)
+            left = [c for c in left if any((c, p) not in out for p in probs)]
+            if not left:
+                break
+    return out
+
+
 def quantile_values(
     df: DataFrame,
     columns: Sequence[str],
@@ -193,10 +297,12 @@ def quantile_values(
     rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """The same for whole-table decisions: one short list per column on the driver."""
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     if not columns:
-        return out
-    slot = {float(p): i for i, p in enumerate(probs)}
-    for row in quantiles(df, columns, probs, (), cfg, rows).collect():
-        out[row["column"]][slot[row["prob"]]] = row["value"]
-    return out
+        return {}
+    if rows is None:
+        rows = df.count()
+    if rows > cfg.quantile_inline_rows:
+        found = _whole_columns(df, columns, probs, cfg)
+    else:
+        found = {(r["column"], r["prob"]): r["value"] for r in quantiles(df, columns, probs, (), cfg, rows).collect()}
+    return {c: [found.get((c, float(p))) for p in probs] for c in columns}

@@ -47,15 +47,24 @@ def test_groups(spark):
 
 
 def test_wrong_bracket_is_widened(spark, monkeypatch):
-    real = Q._brackets
+    real = Q._bounds
 
-    def off(long, keys, probs, margin):
-        found = real(long, keys, probs, margin)
-        return found if margin == Q._MARGINS[-1] else found.selectExpr(*keys, "n", "lo0 + 1e6 AS lo0", "hi0 + 1e6 AS hi0")
+    def off(suffix, p, margin):
+        lo, hi = real(suffix, p, margin)
+        return (lo, hi) if margin == Q._MARGINS[-1] else (f"{lo} + 1e6D", f"{hi} + 1e6D")
 
-    monkeypatch.setattr(Q, "_brackets", off)
-    df = spark.range(1001).selectExpr("CAST(id AS DOUBLE) AS v")
+    monkeypatch.setattr(Q, "_bounds", off)
+    df = spark.range(1001).selectExpr("CAST(id AS DOUBLE) AS v", "'g' AS g")
     assert Q.quantile_values(df, ["v"], (0.5,), SEARCH) == {"v": [500.0]}
+    assert Q.quantiles(df, ["v"], (0.5,), ["g"], SEARCH).first()["value"] == 500.0
+
+
+def test_many_values_inside_brackets(spark, monkeypatch):
+    """Too many for a window: the ranged way inside the column search."""
+    xs = [float(i * 7919 % 10007) for i in range(10007)] + [3.0] * 5000
+    df = spark.createDataFrame([(x, -x) for x in xs], "v double, w double")
+    got = Q.quantile_values(df, ["v", "w"], PROBS, replace(SEARCH, quantile_inline_rows=5))
+    assert got["v"] == pytest.approx(brute(xs)) and got["w"] == pytest.approx(brute([-x for x in xs]))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
