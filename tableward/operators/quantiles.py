@@ -213,6 +213,12 @@ def _search_columns(
         w for w, (_, _, at, _, _) in enumerate(brackets)
         if sizes[f"below{w}"] <= math.floor(at) and math.ceil(at) < sizes[f"below{w}"] + sizes[f"inside{w}"]
     ]
+    # a bracket of a single value that holds the rank is the answer already
+    for w in good:
+        i, p, _, lo, hi = brackets[w]
+        if lo == hi:
+            out[columns[i], p] = lo
+    good = [w for w in good if brackets[w][3] != brackets[w][4]]
     if not good:
         return out
     cells = ", ".join(f"named_struct('which', {w}, 'v', CASE WHEN {tests[w]} THEN v{brackets[w][0]} END)" for w in good)
