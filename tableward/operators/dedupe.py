@@ -50,16 +50,17 @@ def flag_duplicates(
     """Mark every row but the first of its group, keeping all rows.
 
     The first row of each group comes from a map-side-combined aggregate and is
-    joined back by the unique order columns, so no group is ever gathered in
-    one task as a ranking window would do.
+    joined back by the order columns, which must identify a row; as one struct
+    they also match where they hold NULL.  No group is ever gathered in one
+    task as a full ranking would do.
     """
     names = list(columns) if columns is not None else (data_columns(df, cfg) or df.columns)
     firsts = (
         df.groupBy(*_keys(df, names))
         .agg(F.min(F.struct(*[col(c) for c in order_by])).alias("_first"))
-        .select(*[F.col("_first")[c].alias(c) for c in order_by], F.lit(False).alias("is_duplicate"))
+        .select("_first", F.lit(False).alias("is_duplicate"))
     )
-    marked = df.join(firsts, list(order_by), "left")
+    marked = df.withColumn("_first", F.struct(*[col(c) for c in order_by])).join(firsts, "_first", "left")
     return marked.select(*[col(c) for c in df.columns], F.coalesce("is_duplicate", F.lit(True)).alias("is_duplicate"))
 
 

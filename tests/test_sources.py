@@ -91,6 +91,12 @@ def test_manifest(spark, store):
     assert len(etag) == 32
 
 
+def test_file_age(spark, store):
+    files = Mf.list_files(spark, store)
+    assert Mf.newer_than(files, "2100-01-01 00:00:00").count() == 0
+    assert Mf.newer_than(files, "2000-01-01 00:00:00").count() == 19
+
+
 def test_size_guard(spark, store):
     files = Mf.list_files(spark, store)
     kept, refused = Mf.split_by_size(files, QualityConfig(max_file_bytes=20))

@@ -10,6 +10,7 @@ from tableward.config import DEFAULTS
 from tableward.functions import names as N
 from tableward.functions import scalars as S
 from tableward.operators import assess as A
+from tableward.operators import checks as C
 from tableward.operators import dedupe as D
 from tableward.operators import explore as E
 from tableward.operators import missing as M
@@ -190,6 +191,24 @@ def test_duplicates_ignore_metadata(spark):
     assert sorted(r["ingested_at"] for r in flagged) == ["t2", "t4"]
 
 
+def test_flag_duplicates_with_missing_order(spark):
+    df = spark.createDataFrame([("x", None), ("x", 1), ("y", 2)], "t string, i int")
+    assert {(r["t"], r["i"]): r["is_duplicate"] for r in D.flag_duplicates(df, ["i"], ["t"]).collect()} == {
+        ("x", None): False, ("x", 1): True, ("y", 2): False,
+    }
+
+
+def test_map_columns_can_be_deduplicated(spark):
+    df = spark.sql("SELECT map('a', 1) AS m, id % 2 AS k FROM range(4)")
+    assert D.drop_duplicates(df).count() == 2
+
+
+def test_custom_check(spark):
+    even = C.Check("even", "numeric", 30, lambda name, c, ctx: f"{c} % 2 = 0", "%d even values", "{found} > {present} * 0.5")
+    got = A.consistency(one(spark, [2, 4, 5], "int"), columns=["v"], checks=(*C.BUILT_IN, even)).first()
+    assert (got["score"], got["issues"]) == (70, ["2 even values"])
+
+
 def test_long_text_and_nested_duplicates(spark):
     long = "a" * 500
     df = spark.createDataFrame([(long, [1]), (long, [1]), (long + "b", [1]), (None, None)], "t string, a array<int>")
