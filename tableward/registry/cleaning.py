@@ -15,6 +15,7 @@ from tableward.operators import textclean as X
 from tableward.plans import cleaning as P
 from tableward.plans.ingest import normalise
 from tableward.registry.base import DIRTY_KINDS, DIRTY_SQL, NOW, dirty, query, rounded, table, union
+from tableward.session import stage
 
 _ALL = ", ".join(DIRTY_KINDS)
 _TEXT = [n for n, (k, _) in DIRTY_KINDS.items() if k == "text"]
@@ -245,7 +246,9 @@ _SEQ_CTES, _SEQ_LAST = outlier_steps("seq", ["amount", "spiky", "doubled"], ["ev
 
 
 def _sequence(spark, sf_dir):
-    return D.drop_duplicates(dirty(spark, sf_dir)).selectExpr("event_id", "ts", "amount", "spiky", "amount * 2 + event_id AS doubled")
+    unique = D.drop_duplicates(dirty(spark, sf_dir))
+    # several passes follow, so the shuffle behind them is run once
+    return stage(unique.selectExpr("event_id", "ts", "amount", "spiky", "amount * 2 + event_id AS doubled"))
 
 
 @query(f"{DIRTY_SQL}, seq AS (SELECT event_id, ts, amount, spiky, amount * 2 + event_id AS doubled FROM base), {_SEQ_CTES} SELECT * FROM {_SEQ_LAST}")

@@ -172,7 +172,7 @@ def read_json(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8"
 
 def read_json_values(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Bare JSON values and arrays of them: column ``data``, one row per value."""
-    whole = spark.read.option("wholetext", "true").text(literal(paths)).select(
+    whole = spark.read.text(literal(paths), wholetext=True).select(
         file_path().alias(PATH), strip(decode_with_fallback(F.col("value").cast("binary"))).alias("t")
     )
     wrapped = F.concat(F.lit('{"data":'), F.col("t"), F.lit("}"))
@@ -182,21 +182,37 @@ def read_json_values(spark: SparkSession, paths: Sequence[str], encoding: str =
     return whole.select(F.explode_outer(values).alias("data"), PATH)
 
 
+def _is_one_document(content: Column) -> Column:
+    """Whether a text is exactly one JSON value.
+
+    The parser ignores what follows a value; no such rest can be well-formed
+    both inside an array and inside an object.
+    """
+    wrapped = [F.concat(F.lit(a), content, F.lit(b)) for a, b in (("[", "]"), ('{"data":', "}"))]
+    return F.try_parse_json(wrapped[0]).isNotNull() & F.try_parse_json(wrapped[1]).isNotNull()
+
+
 def json_shapes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Whether each file holds objects or bare values, and its encoding.
+    """Whether each file holds objects, bare values or no JSON, and its encoding.
 
-    Only formats under the size guard come here, so a file fits a row.
+    A file is one document: several in a row are not JSON, and the multi-line
+    reader would stop after the first of them without a word.  Only formats
+    under the size guard come here, so a file fits a row.
     """
-    whole = spark.read.option("wholetext", "true").text(literal(paths)).select(
+    whole = spark.read.text(literal(paths), wholetext=True).select(
         file_path().alias("path"), F.col("value")
     )
     valid = F.is_valid_utf8("value")
-    start = F.substring(F.regexp_replace(strip(_decoded(F.col("value"), valid)), r"^\[\s*", "["), 1, 2)
+    content = strip(_decoded(F.col("value"), valid))
+    start = F.substring(F.regexp_replace(content, r"^\[\s*", "["), 1, 2)
     objects = start.startswith("{") | (start == "[{") | (start == "[]")
     return whole.select(
         "path",
         F.when(valid, F.lit("UTF-8")).otherwise(F.lit(LATIN)).alias("encoding"),
-        F.when(objects, F.lit("objects")).otherwise(F.lit("values")).alias("shape"),
+        F.when(~_is_one_document(content), F.lit("invalid"))
+        .when(objects, F.lit("objects"))
+        .otherwise(F.lit("values"))
+        .alias("shape"),
     )
 
 
@@ -292,6 +308,9 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
             groups.setdefault((home[path], layout), []).append(path)
     if kinds.get("json"):
         for r in json_shapes(spark, kinds["json"]).collect():
+            if r["shape"] == "invalid":
+                failed[r["path"]] = "invalid JSON"
+                continue
             groups.setdefault((home[r["path"]], Layout(f"json_{r['shape']}", "", r["encoding"])), []).append(r["path"])
 
     for (dataset, layout), paths in groups.items():

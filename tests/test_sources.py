@@ -62,8 +62,10 @@ def store(tmp_path):
     put(tmp_path, "list.json", '[{"a":1,"b":{"c":2}},{"a":2}]')
     put(tmp_path, "one.json", ' {"a":1}')
     put(tmp_path, "bare.json", "42")
-    put(tmp_path, "bares.json", '[1, "x"]')
+    put(tmp_path, "bares.json", '[1,\n "x"]')
+    put(tmp_path, "pretty.json", '[\n  {\n    "a": 5\n  }\n]\n')
     put(tmp_path, "broken.json", '{"a":')
+    put(tmp_path, "lines.json", '{"a":1}\n{"a":2}\n')
     put(tmp_path, "semi.txt", "a;b\n1;x\n2;y\n")
     put(tmp_path, "tab.txt", "a\tb\n1\tx\n")
     put(tmp_path, "pipe.dat", "a|b;c\n1|2;3\n")
@@ -77,7 +79,7 @@ def store(tmp_path):
 
 def test_manifest(spark, store):
     files = Mf.list_files(spark, store).cache()
-    assert files.count() == 19
+    assert files.count() == 21
     jan = Mf.file_metadata(files, "sales/jan.csv").first()
     assert (jan["content_type"], jan["kind"], jan["dataset"]) == ("text/csv", "csv", "sales")
     assert jan["size"] == os.path.getsize(f"{store}/sales/jan.csv")
@@ -85,8 +87,8 @@ def test_manifest(spark, store):
     assert [r["container"] for r in Mf.list_containers(files).collect()] == ["sales"]
     assert Mf.list_files(spark, store, prefix="sales/").count() == 2
     stats = Mf.container_stats(files).first()
-    assert stats["object_count"] == 19 and stats["total_size_mb"] == round(stats["total_size_bytes"] / 1048576, 2)
-    assert Mf.newest_first(files).count() == 19
+    assert stats["object_count"] == 21 and stats["total_size_mb"] == round(stats["total_size_bytes"] / 1048576, 2)
+    assert Mf.newest_first(files).count() == 21
     etag = Mf.read_content(spark, store, "cafe.csv").first()["etag"]
     assert len(etag) == 32
 
@@ -94,7 +96,7 @@ def test_manifest(spark, store):
 def test_file_age(spark, store):
     files = Mf.list_files(spark, store)
     assert Mf.newer_than(files, "2100-01-01 00:00:00").count() == 0
-    assert Mf.newer_than(files, "2000-01-01 00:00:00").count() == 19
+    assert Mf.newer_than(files, "2000-01-01 00:00:00").count() == 21
 
 
 def test_size_guard(spark, store):
@@ -103,7 +105,7 @@ def test_size_guard(spark, store):
     names = {r["name"] for r in refused.collect()}
     assert "list.json" in names and "bare.json" not in names and "sales/jan.csv" not in names
     assert "exceeds maximum size limit of 20 bytes" in refused.first()["error_message"]
-    assert kept.count() + len(names) == 19
+    assert kept.count() + len(names) == 21
 
 
 def test_load_everything(spark, store):
@@ -116,7 +118,7 @@ def test_load_everything(spark, store):
             for r in p.rows.collect():
                 d = r.asDict()
                 rows.setdefault(d.pop(R.PATH)[len(base) + 1 :], []).append(d)
-    assert set(errors) == {"wide.csv", "empty.csv", "broken.json", "bad.xlsx", "old.xls"}
+    assert set(errors) == {"wide.csv", "empty.csv", "broken.json", "lines.json", "bad.xlsx", "old.xls"}
     assert rows["sales/jan.csv"] == [
         {"Id": 1, "Price ($)": 2.5, "Note": "x"}, {"Id": 2, "Price ($)": None, "Note": "a, b"},
     ]
@@ -126,6 +128,7 @@ def test_load_everything(spark, store):
     assert sorted(r["a"] for r in rows["list.json"]) == [1, 2]
     assert {r["b_c"] for r in rows["list.json"]} == {2, None}
     assert rows["one.json"][0]["a"] == 1
+    assert rows["pretty.json"][0]["a"] == 5
     assert rows["bare.json"] == [{"data": 42}]
     assert sorted(r["data"] for r in rows["bares.json"]) == ["1", "x"]
     assert rows["semi.txt"] == [{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]
