@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableward.llm import hostrules, mixing, recipes
+from tableward.llm import bpe, hostrules, mixing, recipes, simhash
 from tableward.llm.common import documents
 
 WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')"
@@ -23,6 +24,29 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir)).drop("copies")
 
 
+def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near copies of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens``, and digests of the ids and of what they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text"), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded to token ids and decoded again."""
+    return token_digests(documents(spark, sf_dir))
+
+
 def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact duplicates of every document."""
     return recipes.exact_duplicates(documents(spark, sf_dir))
@@ -105,5 +129,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_host_rules": (op4_host_rules, OP4_SQL),
     "op6_source_mix": (op6_source_mix, OP6_SQL),
+    "op8_covering_simhash": (op8_covering_simhash, None),
+    "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_chunk_recipes": (op10_chunk_recipes, OP10_SQL),
 }
