@@ -7,12 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableward.llm import bpe, hostrules, mixing, recipes, simhash
+from tableward.llm import bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash
 from tableward.llm.common import documents
 
 WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')"
 
 
+def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op2_semicrf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.personal_data(documents(spark, sf_dir))
+    base = F.col("base")
+    return found.select(
+        "doc_id", *[credentials.counted(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(credentials.listed(base), 256).alias("base_sha256"), credentials.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return credentials.digests(credentials.secrets(documents(spark, sf_dir)))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and host verdict of every document."""
     found = hostrules.judge(documents(spark, sf_dir))
@@ -127,6 +147,9 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_rank_order_language": (op1_rank_order_language, None),
+    "op2_semicrf_pii": (op2_semicrf_pii, None),
+    "op3_linked_credentials": (op3_linked_credentials, None),
     "op4_host_rules": (op4_host_rules, OP4_SQL),
     "op6_source_mix": (op6_source_mix, OP6_SQL),
     "op8_covering_simhash": (op8_covering_simhash, None),
