@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -72,6 +73,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(fixed.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs.
+
+    Spark deletes them once the driver has collected the plans that own them, which can
+    take long.  Between phases that each move much data, asking for it keeps the disk small.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> int:
     """Delete the stage tables this application wrote; returns how many."""
     paths = _STAGED.pop(spark.sparkContext.applicationId, [])
