@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableward.llm import bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash
+from tableward.llm import blocks, bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash
 from tableward.llm.common import documents
 
 WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')"
@@ -39,6 +39,12 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("n_soft", "host_rate", "verdict")
 
 
+def op5_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that a document with a smaller id has."""
+    found = blocks.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix_sizes(documents(spark, sf_dir)).drop("copies")
@@ -112,6 +118,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source
 """
 
+OP5_SQL = f"""
+WITH listed AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS words FROM documents),
+runs AS (
+  SELECT r, doc_id, p, array_to_string(words[p:p + {blocks.RUN - 1}], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(words) - {blocks.RUN - 2})) AS p FROM listed)),
+firsts AS (SELECT run, min(doc_id) AS first FROM runs GROUP BY run),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + {blocks.RUN})) AS i FROM runs JOIN firsts USING (run) WHERE first < doc_id),
+kept AS (
+  SELECT r, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM listed) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM listed LEFT JOIN kept USING (r)
+"""
+
 OP6_SQL = f"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len({WORDS_SQL}) AS size,
@@ -151,6 +171,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_semicrf_pii": (op2_semicrf_pii, None),
     "op3_linked_credentials": (op3_linked_credentials, None),
     "op4_host_rules": (op4_host_rules, OP4_SQL),
+    "op5_block_anchors": (op5_block_anchors, OP5_SQL),
     "op6_source_mix": (op6_source_mix, OP6_SQL),
     "op8_covering_simhash": (op8_covering_simhash, None),
     "op9_byte_bpe": (op9_byte_bpe, None),
