@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableward.llm import blocks, bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash
+from tableward.llm import blocks, bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash, suffixes
 from tableward.llm.common import documents
 
 WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')"
@@ -50,6 +50,12 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir)).drop("copies")
 
 
+def op7_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur earlier."""
+    found = suffixes.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near copies of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir))
@@ -173,6 +179,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_host_rules": (op4_host_rules, OP4_SQL),
     "op5_block_anchors": (op5_block_anchors, OP5_SQL),
     "op6_source_mix": (op6_source_mix, OP6_SQL),
+    "op7_previous_factors": (op7_previous_factors, None),
     "op8_covering_simhash": (op8_covering_simhash, None),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_chunk_recipes": (op10_chunk_recipes, OP10_SQL),
