@@ -31,7 +31,7 @@ KINDS = ("email", "ip", "card", "phone")
 TRAINING, CERTAIN, REACH = 150, 0.9, 64
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")  # possessive: a long number is passed over once
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9][0-9\x20().+-]*[0-9]")

@@ -7,7 +7,7 @@ three bits, and the mask of a vector v keeps the bits whose m(i) has an odd prod
 v.  Two differing bits span two dimensions at most, so some v is orthogonal to both, and
 its mask blinds them: the pair agrees under it.  A bucket with many fingerprints is
 parted again by the same construction on the bits its mask blinds; after three levels
-at most five bits are left and a bucket holds 32 fingerprints at most.  So every
+at most six bits are left and a bucket holds 64 fingerprints at most.  So every
 link is found, and no bucket's pairs grow with the data.
 
 Only distinct fingerprints are compared; copies meet in one row.  Groups are connected
@@ -33,7 +33,7 @@ from tableward.session import stage
 #: Words of a shingle, seed of its hash, largest number of differing bits.
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: A bucket up to this size is compared pair by pair; it is what the last level leaves at most.
-SMALL, LEVELS = 32, 3
+SMALL, LEVELS = 64, 3
 #: Shingles hashed at a time.
 _BLOCK = 1 << 16
 
