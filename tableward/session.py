@@ -6,12 +6,16 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_STAGED: dict[str, list[str]] = {}
+_STAGED: dict[str, list[tuple[str | None, str]]] = {}
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
 
 
 def build(app: str = "tableward", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,7 +73,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
         ]
     )
     fixed.write.parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append((_OWNER.get(), path))
     return spark.read.schema(fixed.schema).parquet(path)
 
 
@@ -83,12 +87,36 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the stage tables this application wrote; returns how many."""
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+@contextmanager
+def owner(name: str) -> Iterator[str]:
+    """Stage tables written inside belong to ``name``, so that ``release`` can delete just these."""
+    token = _OWNER.set(name)
+    try:
+        yield name
+    finally:
+        _OWNER.reset(token)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes the stage tables written inside at the end: for jobs that have then written their results."""
+    with owner(f"temporary-{uuid.uuid4().hex}") as name:
+        try:
+            yield
+        finally:
+            release(spark, name)
+
+
+def release(spark: SparkSession, name: str | None = None) -> int:
+    """Delete the stage tables this application wrote, or those of one owner; returns how many."""
+    app = spark.sparkContext.applicationId
+    known = _STAGED.pop(app, [])
+    gone = [path for own, path in known if name is None or own == name]
+    if left := [entry for entry in known if entry[1] not in set(gone)]:
+        _STAGED[app] = left
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
+    for path in gone:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
-    return len(paths)
+    return len(gone)
