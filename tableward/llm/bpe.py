@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 #: Bytes of a piece up to which it goes to a matrix; cells of a matrix; pieces kept; characters and pieces at a time.
 LONG, CELLS, CACHED, CHARACTERS, PIECES = 512, 1 << 21, 400_000, 1 << 20, 1 << 18
+#: Rows handed on at a time.
+ROWS = 128
 _NONE = np.int32(2**31 - 1)
 
 
@@ -200,6 +202,11 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], values], names=[*kept, name])
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, ROWS) for at in range(0, batch.num_rows, ROWS))
+
+
 def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*[f for f in df.schema.fields if f.name != name], T.StructField(name, kind)])
 
@@ -209,7 +216,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             coded = list(own.encode(batch.column(text).to_pylist()))
             offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
@@ -223,7 +230,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = load(path).tokens.__getitem__
-        for batch in batches:
+        for batch in _slices(batches):
             out = [None if x is None else b"".join(map(token, x)) for x in (v.as_py() if v.is_valid else None for v in batch.column(ids))]
             yield _with_column(batch, into, pa.array(out, pa.binary()))
 
