@@ -83,9 +83,12 @@ def sweep(spark: SparkSession) -> None:
 
     Spark deletes them once the driver has collected the plans that own them, which can
     take long.  Between phases that each move much data, asking for it keeps the disk small.
+    Asked twice, as the last job's plan is only let go of a moment after its end.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(0.7)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager
