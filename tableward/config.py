@@ -76,7 +76,8 @@ class QualityConfig:
     mixed_case_share: float = 0.30
 
     # ingest
-    max_file_bytes: int = 100 * 1024 * 1024
+    max_file_bytes: int | None = None  # a limit leaves whole files out of the result
+    xml_row_tag: str = "row"
     max_file_age_hours: int = 24
     retention_days: int = 30
     ingest_trigger: str = "15 minutes"

@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 from tableward.config import DEFAULTS, QualityConfig
 
 
-def _unique(names: Iterable[str]) -> list[str]:
-    """Give later holders of a taken name the first free numeric suffix."""
+def _unique(names: Iterable[str], taken: Iterable[str] = ()) -> list[str]:
+    """Give later holders of a taken name the first free numeric suffix.
+
+    Names that differ in case only count as the same, as they do for Spark.
+    """
     names = list(names)
-    taken: set[str] = set()
-    reserved = set(names)
+    used = {t.lower() for t in taken}
+    reserved = {n.lower() for n in names}
     out = []
     for name in names:
         candidate, n = name, 0
-        while candidate in taken or (n and candidate in reserved):
+        while candidate.lower() in used or (n and candidate.lower() in reserved):
             n += 1
             candidate = f"{name}_{n}"
-        taken.add(candidate)
+        used.add(candidate.lower())
         out.append(candidate)
     return out
 
@@ -45,8 +48,8 @@ def clean_name(name: str, position: int) -> str:
     return f"col_{kept}" if kept[0].isdigit() else kept
 
 
-def ingest_names(names: Iterable[str]) -> list[str]:
-    return _unique(ingest_name(n) or f"col_{i}" for i, n in enumerate(names))
+def ingest_names(names: Iterable[str], taken: Iterable[str] = ()) -> list[str]:
+    return _unique((ingest_name(n) or f"col_{i}" for i, n in enumerate(names)), taken)
 
 
 def clean_names(names: Iterable[str], cfg: QualityConfig = DEFAULTS) -> list[str]:
@@ -55,8 +58,9 @@ def clean_names(names: Iterable[str], cfg: QualityConfig = DEFAULTS) -> list[str
     )
 
 
-def rename_for_ingest(df: DataFrame) -> DataFrame:
-    return df.toDF(*ingest_names(df.columns))
+def rename_for_ingest(df: DataFrame, taken: Iterable[str] = ()) -> DataFrame:
+    """Apply the ingest rule; columns that would get a name in ``taken`` get a suffix."""
+    return df.toDF(*ingest_names(df.columns, taken))
 
 
 def rename_for_cleaning(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:

@@ -17,7 +17,7 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # What counts as a number in text.  The cast alone is too generous: it reads
 # '1d' and 'nan' as doubles.
 NUMBER_SHAPE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
-INTEGER_SHAPE = r"^[+-]?\d{1,18}$"
+INTEGER_SHAPE = r"^[+-]?\d+$"
 
 
 def instant_sql(now: datetime | str | None) -> str:

@@ -39,9 +39,12 @@ def drop_duplicates(
             return df.dropDuplicates(names)
         any_row = F.any_value(F.struct(*[col(c) for c in df.columns])).alias("_first")
         return df.groupBy(*_keys(df, names)).agg(any_row).select("_first.*")
-    rest = [c for c in df.columns if c not in order_by]
-    first = F.min(F.struct(*[col(c) for c in [*order_by, *rest]])).alias("_first")
-    return df.groupBy(*_keys(df, names)).agg(first).select(*[F.col("_first")[c].alias(c) for c in df.columns])
+    # Only the order is compared: other columns may be maps.  Ties go by a digest of the row.
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    whole = F.sha2(F.to_json(F.struct(*[col(c) for c in df.columns if not isinstance(kinds[c], T.VariantType)])), 256)
+    row, order = F.struct(*[col(c) for c in df.columns]), F.struct(*[col(c) for c in order_by], whole.alias("_whole"))
+    first = F.min_by(row, order).alias("_first")
+    return df.groupBy(*_keys(df, names)).agg(first).select("_first.*")
 
 
 def flag_duplicates(

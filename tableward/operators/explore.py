@@ -190,14 +190,24 @@ def _bin_of(value: Column, lo: float, hi: float, bins: int) -> Column:
     return F.least(F.width_bucket(value, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins).cast("bigint"))
 
 
+def _finite(df: DataFrame) -> DataFrame:
+    """``v`` where it is a number on the line: neither missing nor infinite."""
+    return nan_to_null(df).where("v > double('-Infinity') AND v < double('Infinity')")
+
+
 def _extent(df: DataFrame, column: str) -> tuple[float, float] | None:
-    row = nan_to_null(df.select(col(column).cast("double").alias("v"))).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    row = _finite(df.select(col(column).cast("double").alias("v"))).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     return None if row["lo"] is None else (row["lo"], row["hi"])
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins with their edges and counts, empty bins included."""
-    value = nan_to_null(df.select(col(column).cast("double").alias("v")))
+    """Equal-width bins with their edges and counts, empty bins included.
+
+    Bins cover the finite values.  Infinite ones, if any, are counted apart: bin 0
+    for the negative, the one after the last for the positive, with no outer edge.
+    """
+    every = nan_to_null(df.select(col(column).cast("double").alias("v")))
+    value = _finite(every)
     extent = _extent(df, column)
     if extent is None:
         bins, extent = 0, (0.0, 0.0)
@@ -207,24 +217,33 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     counts = value.where("v IS NOT NULL").groupBy(_bin_of(F.col("v"), lo, hi, max(bins, 1)).alias("bin")).agg(F.count("*").alias("n"))
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
     # both sides have at most one row per bin
-    return frame.join(F.broadcast(counts), "bin", "left").select(
+    filled = frame.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (F.lit(lo) + F.lit(width) * (F.col("bin") - 1)).alias("lower"),
         (F.lit(lo) + F.lit(width) * F.col("bin")).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
+    low = F.col("v") < 0
+    far = every.where("v IN (double('-Infinity'), double('Infinity'))").groupBy(
+        F.when(low, 0).otherwise(bins + 1).cast("bigint").alias("bin"),
+        F.when(low, float("-inf")).otherwise(hi).alias("lower"),
+        F.when(low, lo).otherwise(float("inf")).alias("upper"),
+    ).agg(F.count("*").alias("n"))
+    return filled.unionAll(far)
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], cfg: QualityConfig = DEFAULTS) -> DataFrame:
     """Quartiles, whiskers at the fences' innermost values, number of outliers."""
     names = list(columns)
     clean = nan_to_null(df.select(*[col(c) for c in names]))
-    found = {n: q for n, q in quantile_values(clean, names, _QUARTILES, cfg).items() if q[0] is not None}
-    if not found:
-        raise ValueError("no values to describe")
+    found = quantile_values(clean, names, _QUARTILES, cfg)
     aggs = []
     for i, (n, (q1, q2, q3)) in enumerate(found.items()):
         v = f"CAST({ident(n)} AS DOUBLE)"
+        if q1 is None:  # no value: n is 0 and the rest is NULL
+            aggs += [f"count({v}) AS `{i}_n`", f"count({v}) AS `{i}_outliers`"]
+            aggs += [f"CAST(NULL AS DOUBLE) AS `{i}_{k}`" for k in ("q1", "median", "q3", "whisker_low", "whisker_high")]
+            continue
         reach = cfg.outlier_iqr * (q3 - q1)
         inside = f"{v} BETWEEN {number(q1 - reach)} AND {number(q3 + reach)}"
         aggs += [
@@ -267,7 +286,7 @@ def violin_density(df: DataFrame, column: str, by: str | None = None, bins: int
     extent = _extent(df, column) or (0.0, 0.0)
     lo, hi = extent
     width = (hi - lo) / bins if hi > lo else 1.0
-    binned = nan_to_null(df.select(group.alias("group"), col(column).cast("double").alias("v"))).where("v IS NOT NULL")
+    binned = _finite(df.select(group.alias("group"), col(column).cast("double").alias("v")))
     counts = binned.groupBy("group", _bin_of(F.col("v"), lo, hi, bins).alias("bin")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(W.partitionBy("group"))
     return counts.withColumn("density", F.col("n") / (total * F.lit(width)))
@@ -348,7 +367,7 @@ def retained(
 
 
 def row_slice(
-    df: DataFrame, order_by: Sequence[str], start: int, count: int, columns: Sequence[str] = ()
+    df: DataFrame, order_by: Sequence[str], start: int, count: int, columns: Sequence[str] = (), in_memory: int = _OFFSET_IN_MEMORY
 ) -> DataFrame:
     """Rows ``start`` to ``start + count`` in a total order, some or all columns.
 
@@ -357,7 +376,7 @@ def row_slice(
     that hold the slice are found from their sizes, and only those are ranked.
     """
     chosen = [col(c) for c in (columns or df.columns)]
-    if start + count <= _OFFSET_IN_MEMORY:
+    if start + count <= in_memory:
         return df.orderBy(*order_by).offset(start).limit(count).select(*chosen)
     ranged = stage(df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id()), "slice")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("n"))  # one row per partition

@@ -143,7 +143,7 @@ def forward_fill(
     if not partition_by:
         raise ValueError("forward_fill needs partition_by")
     ranged = stage(
-        df.repartitionByRange(*partition_by, *order_by).withColumn("_part", F.spark_partition_id()),
+        nan_to_null(df).repartitionByRange(*partition_by, *order_by).withColumn("_part", F.spark_partition_id()),
         "fill",
     )
     here = (

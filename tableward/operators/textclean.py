@@ -106,7 +106,11 @@ def infer_reader_types(
     drop_empty: bool = False,
 ) -> DataFrame:
     """Types a text file's columns would get on load: whole numbers, numbers,
-    booleans, when every value present fits; otherwise text."""
+    booleans, when every value present fits; otherwise text.
+
+    Whole numbers of which some exceed a bigint stay text: a double would make
+    different ones equal.
+    """
     names = columns_of_class(df, TEXT, among=columns if columns is not None else data_columns(df, cfg))
     if not names:
         return df
@@ -116,6 +120,7 @@ def infer_reader_types(
         aggs += [
             f"count({v}) AS n{i}",
             f"count_if({v} RLIKE {text(INTEGER_SHAPE)}) AS i{i}",
+            f"count(CASE WHEN {v} RLIKE {text(INTEGER_SHAPE)} THEN try_cast({v} AS BIGINT) END) AS l{i}",
             f"count({number_sql(v)}) AS d{i}",
             f"count_if({v} IN ('true', 'false', 'True', 'False', 'TRUE', 'FALSE')) AS b{i}",
         ]
@@ -127,7 +132,8 @@ def infer_reader_types(
             empty.append(c)
             continue
         if row[f"i{i}"] == n:
-            casts[c] = col(c).try_cast("bigint")
+            if row[f"l{i}"] == n:
+                casts[c] = col(c).try_cast("bigint")
         elif row[f"d{i}"] == n:
             casts[c] = number_or_null(col(c))
         elif row[f"b{i}"] == n:

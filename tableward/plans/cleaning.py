@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableward.config import DEFAULTS, QualityConfig
 from tableward.functions.columns import col, data_columns, ident, nan_to_null, text
@@ -25,7 +26,9 @@ def row_completeness(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
     names = data_columns(df, cfg, exclude=cfg.indicator_cols)
     if not names:
         return df
-    held = " + ".join(f"CAST({ident(c)} IS NOT NULL AS INT)" for c in names)
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    value = {c: f"nanvl({ident(c)}, NULL)" if c in floats else ident(c) for c in names}
+    held = " + ".join(f"CAST({value[c]} IS NOT NULL AS INT)" for c in names)
     return df.withColumn("completeness_score", F.expr(f"round(({held}) / {len(names)} * 100, 2)"))
 
 

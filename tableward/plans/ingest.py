@@ -8,11 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.names import rename_for_ingest
+from tableward.functions.columns import col
+from tableward.functions.names import ingest_names
 from tableward.functions.scalars import instant
 from tableward.operators.missing import drop_empty_columns, drop_empty_rows, replace_null_tokens
 
 
+LINEAGE = ("ingested_at", "data_source", "source_file")
+# Where a reader notes a row's file.
+_CARRIED = ("_source_path",)
+
+
 def add_lineage(
     df: DataFrame,
     source: str,
@@ -33,10 +39,19 @@ def normalise_rows(
     now: datetime | str | None = None,
     file: Column | str | None = None,
 ) -> DataFrame:
-    """The row-local part: also applies to a streaming frame."""
+    """The row-local part: also applies to a streaming frame.
+
+    Data columns are renamed first and keep clear of the lineage names, so a
+    header ``Source File`` becomes ``source_file_1`` and lineage stays what it is.
+    ``file`` may read columns of ``df``; those named in ``_CARRIED`` end there.
+    """
+    carried = [c for c in df.columns if c in _CARRIED]
+    data = [c for c in df.columns if c not in _CARRIED]
+    names = ingest_names(data, (*LINEAGE, *carried))
+    renamed = df.select(*[col(c).alias(n) for c, n in zip(data, names)], *[col(c) for c in carried])
     return (
-        add_lineage(df, source, now, file)
-        .transform(rename_for_ingest)
+        add_lineage(renamed, source, now, file)
+        .drop(*carried)
         .transform(replace_null_tokens, cfg)
         .transform(drop_empty_rows, cfg)
     )

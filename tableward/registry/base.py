@@ -62,7 +62,7 @@ def query(sql: str | None = None) -> Callable[[Runner], Runner]:
 
 
 def registered() -> dict[str, tuple[Runner, str | None]]:
-    from tableward.registry import assessing, cleaning, exploring, files, streams  # noqa: F401
+    from tableward.registry import assessing, cleaning, exploring, files, streams, trips  # noqa: F401
 
     return dict(_REGISTRY)
 

@@ -23,7 +23,7 @@ CONTENT_TYPES = {
     ".parquet": "application/vnd.apache.parquet",
 }
 # Which reader an extension goes to; anything else is tried as text.
-KINDS = {".csv": "csv", ".json": "json", ".xlsx": "excel", ".xls": "excel"}
+KINDS = {".csv": "csv", ".json": "json", ".xlsx": "excel", ".xls": "excel", ".xml": "xml"}
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -68,9 +68,10 @@ def describe_files(files: DataFrame, root: str) -> DataFrame:
         .withColumn("kind", _choice(F.col("extension"), KINDS, "text"))
         .withColumn(
             "dataset",
-            F.when(F.contains("name", F.lit("/")), F.substring_index("name", "/", 1)).otherwise(
-                F.regexp_replace("name", r"\.[^.]+$", "")
-            ),
+            # a CSV file in the root gives its bare name, another kind keeps its extension: a.csv and a.json stay apart
+            F.when(F.contains("name", F.lit("/")), F.substring_index("name", "/", 1))
+            .when(F.col("extension") == ".csv", F.regexp_replace("name", r"\.[^.]+$", ""))
+            .otherwise(F.col("name")),
         )
     )
 
@@ -125,9 +126,11 @@ def container_stats(files: DataFrame) -> DataFrame:
 def split_by_size(files: DataFrame, cfg: QualityConfig = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """Files to read, and files refused for their size with the reason.
 
-    Only formats read file by file are limited; delimited and plain text is
+    Without a configured limit nothing is refused.  Only formats read file by file are limited; delimited and plain text is
     split over tasks whatever its size.
     """
+    if cfg.max_file_bytes is None:
+        return files, files.limit(0).withColumn("error_message", F.lit(None).cast("string"))
     whole = F.col("kind").isin("json", "excel")
     refused = whole & (F.col("size") > cfg.max_file_bytes)
     reason = F.format_string(f"exceeds maximum size limit of {cfg.max_file_bytes} bytes")

@@ -313,11 +313,14 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
                 continue
             groups.setdefault((home[r["path"]], Layout(f"json_{r['shape']}", "", r["encoding"])), []).append(r["path"])
 
+    for path in kinds.get("xml", []):
+        groups.setdefault((home[path], Layout("xml")), []).append(path)
+
     for (dataset, layout), paths in groups.items():
         try:
             yield _load_group(spark, dataset, layout, paths, cfg)
         except Exception as e:  # one layout's failure leaves the others alone
-            yield Loaded(dataset, layout, [], None, {p: f"{type(e).__name__}: {str(e)[:500]}" for p in paths})
+            yield Loaded(dataset, layout, [], None, {p: f"{type(e).__name__}: {e}" for p in paths})
     sheets: dict[str, list[str]] = {}
     for path in kinds.get("excel", []):
         if path.lower().endswith(".xls"):
@@ -337,6 +340,8 @@ def _load_group(spark: SparkSession, dataset: str, layout: Layout, paths: list[s
     if layout.kind == "csv":
         rows = with_reader_types(read_delimited(spark, paths, layout, cfg), cfg)
         return Loaded(dataset, layout, paths, rows, trimmed=True)
+    if layout.kind == "xml":
+        return Loaded(dataset, layout, paths, read_xml(spark, paths, cfg.xml_row_tag))
     if layout.kind == "lines":
         return Loaded(dataset, layout, paths, read_plain_text(spark, paths), trimmed=True)
     if layout.kind == "json_objects":

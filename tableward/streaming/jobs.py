@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tableward.config import DEFAULTS, QualityConfig
-from tableward.functions.columns import TEXT, columns_of_class, data_columns
+from tableward.functions.columns import TEXT, columns_of_class, data_columns, nan_to_null
 from tableward.functions.scalars import instant
 from tableward.operators import status as St
 from tableward.operators.missing import replace_null_tokens
 from tableward.operators.textclean import clean_text
 from tableward.plans.cleaning import add_indicators, clean, cleaning_summary
 from tableward.plans.ingest import normalise, normalise_rows
-from tableward.session import stage
+from tableward.session import stage, temporary
 from tableward.sources import manifest as Mf
 from tableward.sources import sinks
 from tableward.sources.readers import PATH, load
@@ -60,15 +60,19 @@ def run_ingest(
     cfg: QualityConfig = DEFAULTS,
     now: datetime | str | None = None,
     files: DataFrame | None = None,
+    max_age: bool = False,
 ) -> dict[str, int]:
     """One ingest cycle: new or modified files to raw datasets.
 
     A file that cannot be read is logged as ``error`` and tried again in the
-    next cycle; the others go on.  Returns how many files ended in each status.
+    next cycle; the others go on.  With ``max_age`` files older than the configured
+    age are left alone.  Returns how many files ended in each status.
     """
     try:
         listed = files if files is not None else Mf.list_files(spark, source)
         state = read_log(spark, root, "file_state", FILE_STATE)
+        if max_age:
+            listed = Mf.newer_than(listed, now, cfg)
         fresh = stage(St.new_files(listed, state), "files")
         accepted, refused = Mf.split_by_size(fresh, cfg)
         base = Mf.qualified(spark, source)
@@ -82,11 +86,10 @@ def run_ingest(
             if part.rows is not None and part.paths:
                 try:
                     file = F.expr(f"substring({PATH}, {len(base) + 2})")
-                    rows = part.rows.withColumn("source_file", file).drop(PATH)
                     flow = normalise_rows if part.trimmed else normalise
-                    sinks.write_raw(flow(rows, label, cfg, now), root, part.dataset)
+                    sinks.write_raw(flow(part.rows, label, cfg, now, file), root, part.dataset)
                 except Exception as e:  # isolate the layout
-                    errors |= {p: f"{type(e).__name__}: {str(e)[:500]}" for p in part.paths}
+                    errors |= {p: f"{type(e).__name__}: {e}" for p in part.paths}
             done = [p for p in part.paths if p not in errors]
             if done:
                 # the stamp the listing showed, not the time of this run
@@ -108,12 +111,16 @@ def run_ingest(
 
 
 def pending_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """Raw datasets not cleaned since they were last written."""
+    """Raw datasets written since the version that was cleaned last: ``file, written_at``.
+
+    A completed cleaning carries the ``written_at`` it has read, so rows that
+    come while it runs are found next time.
+    """
     log = read_log(spark, root, "file_status", St.FILE_STATUS)
     written = St.latest_per_key(log.where("stage = 'raw'"), ["file"]).select("file", F.col("ts").alias("written_at"))
-    cleaned = St.latest_per_key(log.where("stage = 'clean'"), ["file"]).where("status = 'completed'")
-    done = cleaned.select("file", F.col("ts").alias("cleaned_at"))
-    return written.join(done, "file", "left").where("cleaned_at IS NULL OR cleaned_at < written_at").select("file")
+    done = log.where("stage = 'cleaned_version'").groupBy("file").agg(F.max("ts").alias("cleaned_version"))
+    pending = written.join(done, "file", "left").where("cleaned_version IS NULL OR cleaned_version < written_at")
+    return pending.select("file", "written_at")
 
 
 def run_clean(
@@ -122,21 +129,27 @@ def run_clean(
     cfg: QualityConfig = DEFAULTS,
     now: datetime | str | None = None,
 ) -> dict[str, str]:
-    """One cleaning cycle over the pending datasets: cleaned data, summary, status."""
+    """One cleaning cycle over the pending datasets: cleaned data, summary, status.
+
+    Of repeated rows the first by file and columns is kept, so reruns keep the same.
+    """
     outcome: dict[str, str] = {}
     for row in pending_datasets(spark, root).collect():  # dataset names
         dataset = row["file"]
         try:
             _log_files(spark, root, [(dataset, "clean", "processing", None)], now)
-            raw = sinks.read_raw(spark, root, dataset)
-            sinks.write_cleaned(clean(raw, cfg, now), root, dataset)
-            cleaned = sinks.read_cleaned(spark, root, dataset)
-            sinks.write_summary(cleaning_summary(raw, cleaned, cfg, now), root, dataset)
+            with temporary(spark):
+                raw = sinks.read_raw(spark, root, dataset)
+                order = tuple(c for c in ("source_file", "ingested_at") if c in raw.columns)
+                sinks.write_cleaned(clean(raw, cfg, now, order), root, dataset)
+                cleaned = sinks.read_cleaned(spark, root, dataset)
+                sinks.write_summary(cleaning_summary(raw, cleaned, cfg, now), root, dataset)
+            _log_files(spark, root, [(dataset, "cleaned_version", "completed", None)], row["written_at"])
             # a later row of the same instant must win over 'processing'
             _log_files(spark, root, [(dataset, "clean", "completed", None)], _after(now))
             outcome[dataset] = "completed"
         except Exception as e:  # isolate the dataset
-            _log_files(spark, root, [(dataset, "clean", "error", f"{type(e).__name__}: {str(e)[:500]}")], _after(now))
+            _log_files(spark, root, [(dataset, "clean", "error", f"{type(e).__name__}: {e}")], _after(now))
             outcome[dataset] = "error"
     _log_cycle(spark, root, "clean", "completed", now)
     return outcome
@@ -155,7 +168,7 @@ def _after(now: datetime | str | None):
 
 def clean_rows(df: DataFrame, cfg: QualityConfig = DEFAULTS, now: datetime | str | None = None) -> DataFrame:
     """The row-local cleaning steps; works on streaming and on batch frames."""
-    tokens = replace_null_tokens(df, cfg)
+    tokens = replace_null_tokens(nan_to_null(df), cfg)
     return add_indicators(clean_text(tokens, cfg, columns_of_class(df, TEXT, among=data_columns(df, cfg))), cfg, now)
 
 
@@ -214,7 +227,8 @@ def stream_clean(
 
     def batch(df: DataFrame, number: int) -> None:
         if not df.isEmpty():
-            write(clean(df, cfg, now), number)
+            with temporary(df.sparkSession):
+                write(clean(df, cfg, now), number)
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _start(writer, cfg.clean_trigger if service else None)
