@@ -7,7 +7,7 @@ mean and variance (``prior``).  The shrunk rate makes the host's verdict:
 
 * ``blocked`` (over ``BLOCKED``): most of what it holds fails; all its documents go,
 * ``watched`` (over ``WATCHED`` times the corpus mean): one soft failure is enough to go,
-* ``trusted``: a document goes when two soft rules fail, or a hard one.
+* ``trusted``: a document goes when two soft rules fail, one of them grossly, or a hard one.
 
 All of it is DataFrame expressions.  NULL or empty text has no words and fails the hard
 rule; NULL is a host like any other.  An empty table gives an empty result.
@@ -25,8 +25,8 @@ from tableward.session import stage
 
 #: Hard rule: fewer words than this, or more than this share of them in repeated windows.
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
-#: Soft rules: symbols per word, share of repeated lines, characters per word.
-SYMBOLS, SYMBOLS_PER_WORD, LINES_REPEATED, WORD_LENGTH = "#*$%&|<>", 0.1, 0.3, (2, 15)
+#: Soft rules: symbols per word and share of repeated lines (the second figure is a gross failure), characters per word.
+SYMBOLS, SYMBOLS_PER_WORD, LINES_REPEATED, WORD_LENGTH = "#*$%&|<>", (0.1, 0.3), (0.3, 0.9), (2, 15)
 #: Host verdicts, by the shrunk rate of failing documents.
 BLOCKED, WATCHED = 0.5, 1.5
 
@@ -99,13 +99,13 @@ def counts(text: Column) -> Column:
 
 
 def scored(text: Column) -> Column:
-    """The counts with ``base_failed`` and ``n_soft``, the number of soft rules that fail."""
+    """The counts with ``base_failed`` and ``n_soft``, the number of soft rules that fail, gross failures twice."""
 
     def judged(c: Column) -> Column:
         low, high = WORD_LENGTH
         soft = (
-            c["n_symbols"] > SYMBOLS_PER_WORD * c["n_words"],
-            c["n_dup_lines"] > LINES_REPEATED * c["n_lines"],
+            *(c["n_symbols"] > most * c["n_words"] for most in SYMBOLS_PER_WORD),
+            *(c["n_dup_lines"] > most * c["n_lines"] for most in LINES_REPEATED),
             (c["word_chars"] < low * c["n_words"]) | (c["word_chars"] > high * c["n_words"]),
         )
         return F.struct(

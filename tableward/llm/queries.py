@@ -104,7 +104,8 @@ counted AS (
   FROM listed LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)),
 failed AS (
   SELECT *, n_words < {hostrules.LEAST_WORDS} OR 100 * n_repeat_words > {hostrules.REPEATED_PERCENT} * n_words AS base_failed,
-    CAST(n_symbols > {hostrules.SYMBOLS_PER_WORD} * n_words AS INT) + CAST(n_dup_lines > {hostrules.LINES_REPEATED} * n_lines AS INT)
+    {" + ".join(f"CAST(n_symbols > {m} * n_words AS INT)" for m in hostrules.SYMBOLS_PER_WORD)}
+      + {" + ".join(f"CAST(n_dup_lines > {m} * n_lines AS INT)" for m in hostrules.LINES_REPEATED)}
       + CAST(word_chars < {hostrules.WORD_LENGTH[0]} * n_words OR word_chars > {hostrules.WORD_LENGTH[1]} * n_words AS INT) AS n_soft
   FROM counted),
 hosts AS (

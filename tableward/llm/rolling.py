@@ -33,6 +33,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: A random number for each byte.
+BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 class Prefix:
     """Sums from which the hash of any stretch follows: equal stretches have equal hashes wherever they stand."""
 
@@ -65,8 +69,7 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
     starts, ends = word_bounds(raw)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    values = mix(raw.astype(np.uint64) + np.uint64(1))
-    return mix(Prefix(values).hashes(starts, ends) + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    return mix(Prefix(BYTES[raw]).hashes(starts, ends) + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:

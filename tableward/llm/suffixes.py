@@ -8,7 +8,7 @@ their minimizers: of every ``LENGTH`` bytes, the window of ``SEED`` bytes with t
 hash is an anchor, wherever those bytes stand.  Anchors that occur once are dropped.  Around
 each occurrence of the others, the segment that holds every string with this anchor is
 cut out.  Equal segments become one, that of the earliest place; the later ones are repeats as a
-whole.  Where an anchor has several different segments, their suffixes are sorted; from the
+whole, and so are later copies of whole texts, which need not be cut at all.  Where an anchor has several different segments, their suffixes are sorted; from the
 previous and next smaller positions in suffix order follows the longest factor that occurs
 earlier (``previous_factors``), and starts where it reaches ``LENGTH`` are repeats.
 
@@ -45,7 +45,7 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, rolling.Prefix | N
     """Positions and hashes of a text's anchors, and the sums to hash its stretches with."""
     if len(raw) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), None
-    sums = rolling.Prefix(rolling.mix(raw.astype(np.uint64) + np.uint64(1)))
+    sums = rolling.Prefix(rolling.BYTES[raw])
     hashes = sums.windows(SEED)
     least = rolling.sliding_minimum(hashes, WINDOWS)
     # A window is an anchor if it is the least of some stretch: the largest of these minima is its own hash.
@@ -76,11 +76,21 @@ def listed_anchors(docs: DataFrame) -> DataFrame:
 _SEGMENT = "anchor long, digest long, id long, mark long, at long, before int, size int, bytes binary"
 
 
+def stretches(starts: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping or adjacent ranges below ``n`` made one: their starts and lengths."""
+    change = np.zeros(n + 2, np.int64)
+    np.add.at(change, starts + 1, 1)
+    np.add.at(change, starts + counts + 1, -1)
+    edge = np.diff((np.cumsum(change) > 0).astype(np.int8))
+    first = np.flatnonzero(edge == 1)
+    return first, np.flatnonzero(edge == -1) - first
+
+
 def segments(docs: DataFrame) -> DataFrame:
     """The segments around the shared anchors (column ``shared``, an array) of each document.
 
-    Of equal segments of one anchor in one document the first is given whole.  The others come without
-    bytes, as they are repeats already.
+    Of equal segments of one anchor in one document the first is given.  The others are repeats
+    already: what starts in them comes as ranges, ``size`` starts from ``at``, without bytes.
     """
     names = [c.split()[0] for c in _SEGMENT.split(", ")]
 
@@ -96,11 +106,18 @@ def segments(docs: DataFrame) -> DataFrame:
                 start, end = np.maximum(at - (LENGTH - SEED), 0), np.minimum(at + LENGTH, len(raw))
                 digest = sums.hashes(start, end) + (at - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 digest = (digest + (end - start).astype(np.uint64)).view(np.int64)
-                _, first = np.unique(np.stack([hashes, digest]), axis=1, return_index=True)
-                whole = np.zeros(len(at), bool)
-                whole[first] = True
-                cut = [raw[s:e].tobytes() if w else None for s, e, w in zip(start, end, whole)]
-                columns = hashes, digest, np.full(len(at), own), np.full(len(at), mark), at, (at - start).astype(np.int32), (end - start).astype(np.int32)
+                order = np.lexsort((at, digest, hashes))
+                again = np.concatenate([[False], (np.diff(hashes[order]) == 0) & (np.diff(digest[order]) == 0)])
+                late, order = order[again], np.sort(order[~again])
+                ranges, lengths = stretches(start[late], end[late] - start[late] - LENGTH + 1, len(raw))
+                rest = np.zeros(len(ranges), np.int64)
+                total = len(order) + len(ranges)
+                columns = (
+                    np.concatenate([hashes[order], rest]), np.concatenate([digest[order], rest]), np.full(total, own), np.full(total, mark),
+                    np.concatenate([at[order], ranges]), np.concatenate([at[order] - start[order], rest]).astype(np.int32),
+                    np.concatenate([end[order] - start[order], lengths]).astype(np.int32),
+                )
+                cut = [raw[s:e].tobytes() for s, e in zip(start[order], end[order])] + [None] * len(ranges)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(cut, pa.binary())], names)
 
     return docs.mapInArrow(run, _SEGMENT)
@@ -202,28 +219,47 @@ def hashed_repeats(rows: DataFrame) -> DataFrame:
     return later.select("id", "mark", "start", F.lit(1).cast("long").alias("count"))
 
 
+def later_copies(docs: DataFrame) -> DataFrame:
+    """``id, mark, bytes`` of the documents whose whole text an earlier document has, told by two hashes and the length."""
+    told = docs.select("id", "mark", F.xxhash64(F.lit(1), "text").alias("also"), F.octet_length("text").alias("bytes"))
+    told = stage(told.where(F.col("bytes") >= LENGTH), "texts")
+    first = told.groupBy("mark", "also", "bytes").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    return told.join(first.drop("last"), ["mark", "also", "bytes"]).where("id > first").select("id", "mark", "bytes").distinct()
+
+
 def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``id, mark, start, count``: where repeated strings start in the documents of ``id, mark, text``."""
     spark = docs.sparkSession
+    whole = stage(later_copies(docs), "copies")
     sampled = stage(listed_anchors(docs), "anchors")
-    shared = sampled.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
+    # Copies of one text count once here.
+    spread = sampled.groupBy("anchor").agg(F.min("mark").alias("one"), F.max("mark").alias("other"), F.max("times").alias("times"))
+    shared = spread.where("one <> other OR times > 1").select("anchor")
     wanted = sampled.join(shared, "anchor").groupBy("id", "mark").agg(F.collect_list("anchor").alias("shared"))
-    wanted = stage(wanted, "shared")
+    wanted = stage(wanted.join(whole, ["id", "mark"], "left_anti"), "shared")
     sweep(spark)
     cut = stage(segments(docs.join(wanted, ["id", "mark"])), "segments")
     sweep(spark)
-    slim = cut.drop("bytes")
-    firsts = cut.where("bytes IS NOT NULL").groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
+    given, inside = cut.where("bytes IS NOT NULL"), cut.where("bytes IS NULL")
+    firsts = given.groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
     firsts = stage(firsts.select("anchor", "digest", "first.*"), "firsts")
+    sweep(spark)
     earlier = firsts.select("anchor", "digest", F.struct("id", "at").alias("first"))
-    later = slim.join(earlier, ["anchor", "digest"]).where(F.struct("id", "at") > F.col("first"))
-    copies = later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count"))
+    later = given.drop("bytes").join(earlier, ["anchor", "digest"]).where(F.struct("id", "at") > F.col("first"))
     several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    compared = cut.where("bytes IS NOT NULL").join(firsts.join(several, "anchor"), ["anchor", "digest", "id", "mark", "at"])
+    compared = given.join(firsts.join(several, "anchor"), ["anchor", "digest", "id", "mark", "at"])
     compared = stage(compared, "compared")
     sweep(spark)
     few, many = compared.where(F.col("n") <= crowd), compared.where(F.col("n") > crowd)
-    return copies.unionByName(sorted_repeats(few)).unionByName(hashed_repeats(many))
+    plain = (
+        later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count")),
+        inside.select("id", "mark", F.col("at").alias("start"), F.col("size").cast("long").alias("count")),
+        whole.select("id", "mark", F.lit(0).cast("long").alias("start"), (F.col("bytes") - LENGTH + 1).cast("long").alias("count")),
+    )
+    found = sorted_repeats(few).unionByName(hashed_repeats(many))
+    for more in plain:
+        found = found.unionByName(more)
+    return found
 
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
