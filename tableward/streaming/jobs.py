@@ -68,6 +68,20 @@ def run_ingest(
     next cycle; the others go on.  With ``max_age`` files older than the configured
     age are left alone.  Returns how many files ended in each status.
     """
+    with temporary(spark):  # the listing and parsed workbooks, which are written out by the end
+        return _ingest(spark, source, root, label, cfg, now, files, max_age)
+
+
+def _ingest(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    label: str = "object_store",
+    cfg: QualityConfig = DEFAULTS,
+    now: datetime | str | None = None,
+    files: DataFrame | None = None,
+    max_age: bool = False,
+) -> dict[str, int]:
     try:
         listed = files if files is not None else Mf.list_files(spark, source)
         state = read_log(spark, root, "file_state", FILE_STATE)

@@ -5,6 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from tableward import session
 from tableward.operators import status as St
 from tableward.sources import sinks as K
 from tableward.streaming import jobs as J
@@ -80,3 +81,51 @@ def test_failed_clean_is_isolated(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(J, "clean", fails)
     assert J.run_clean(spark, root, now="2024-01-01 01:00:00") == {"a": "error", "b": "completed"}
     assert J.pending_datasets(spark, root).first()["file"] == "a"
+
+
+def test_stage_tables_are_gone_after_the_cycles(spark, tmp_path):
+    src, root = str(tmp_path / "src"), str(tmp_path / "lake")
+    put(src, "a/1.csv", "k,v\n1,x\n1,x\n2,y\n")
+    before = len(session._STAGED.get(spark.sparkContext.applicationId, []))
+    J.run_ingest(spark, src, root, now="2024-01-01 00:00:00")
+    J.run_clean(spark, root, now="2024-01-01 01:00:00")
+    assert len(session._STAGED.get(spark.sparkContext.applicationId, [])) == before
+
+
+def test_rows_written_during_a_clean_stay_pending(spark, tmp_path, monkeypatch):
+    src, root = str(tmp_path / "src"), str(tmp_path / "lake")
+    put(src, "a/1.csv", "k,v\n1,x\n")
+    J.run_ingest(spark, src, root, now="2024-01-01 00:00:00")
+    real = J.clean
+
+    def slow(df, *args, **kwargs):
+        put(src, "a/2.csv", "k,v\n2,y\n")
+        monkeypatch.setattr(J, "clean", real)
+        J.run_ingest(spark, src, root, now="2024-01-01 02:00:00")
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(J, "clean", slow)
+    J.run_clean(spark, root, now="2024-01-01 03:00:00")
+    assert [r["file"] for r in J.pending_datasets(spark, root).collect()] == ["a"]
+    J.run_clean(spark, root, now="2024-01-01 04:00:00")
+    assert J.pending_datasets(spark, root).isEmpty() and K.read_cleaned(spark, root, "a").count() == 2
+
+
+def test_reruns_keep_the_same_rows(spark, tmp_path):
+    src, kept = str(tmp_path / "src"), []
+    for name in ("b", "a", "c"):
+        put(src, f"d/{name}.csv", "k,v\n1,x\n2,y\n")
+    for run in range(2):
+        root = str(tmp_path / f"lake{run}")
+        J.run_ingest(spark, src, root, now="2024-01-01 00:00:00")
+        J.run_clean(spark, root, now="2024-01-01 01:00:00")
+        kept.append(sorted((r["k"], r["source_file"]) for r in K.read_cleaned(spark, root, "d").collect()))
+    assert kept[0] == kept[1] == [(1, "d/a.csv"), (2, "d/a.csv")]
+
+
+def test_kinds_of_one_name_stay_apart(spark, tmp_path):
+    src, root = str(tmp_path / "src"), str(tmp_path / "lake")
+    put(src, "a.csv", "k\n1\n")
+    put(src, "a.json", '[{"q": 5}]')
+    assert J.run_ingest(spark, src, root, now="2024-01-01 00:00:00")["ingested"] == 2
+    assert K.read_raw(spark, root, "a").first()["k"] == 1 and K.read_raw(spark, root, "a.json").first()["q"] == 5
