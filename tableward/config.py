@@ -36,7 +36,7 @@ DATETIME_FORMATS = (
     ("dd.MM.yyyy", r"^\d{2}\.\d{2}\.\d{4}$"),
 )
 
-# Name of a recency window -> hours; None keeps everything.
+# Name of a recency window -> hours; None keeps everything.
 RECENCY_HOURS = {
     "Last Hour": 1,
     "Last 6 Hours": 6,

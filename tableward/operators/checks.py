@@ -48,6 +48,7 @@ def _extreme(name: str, c: str, ctx: Context) -> str:
     return f"{c} < {number(lo)} OR {c} > {number(hi)}"
 
 
+# Penalties and issue texts of the built-in checks.
 TEXT_CASING = Check(
     "casing", TEXT, 20,
     lambda name, c, ctx: f"NOT ({c} = lower({c}) AND {c} <> upper({c})) AND NOT ({c} = upper({c}) AND {c} <> lower({c}))",

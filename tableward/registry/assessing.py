@@ -230,14 +230,14 @@ def text_consistency(spark, sf_dir):
 @query(
     union(
         text_check(n, t)
-        for t, names in (("part", ("p_name", "p_brand", "p_type")), ("customer", ("c_name", "c_mktsegment")), ("documents", ("lang", "source")))
+        for t, names in (("part", ("p_name", "p_brand", "p_type")), ("customer", ("c_name", "c_mktsegment")), ("documents", ("text", "lang", "source")))
         for n in names
     )
 )
 def text_consistency_tables(spark, sf_dir):
     found = [
         A.consistency(table(spark, sf_dir, t), columns=names)
-        for t, names in (("part", ("p_name", "p_brand", "p_type")), ("customer", ("c_name", "c_mktsegment")), ("documents", ("lang", "source")))
+        for t, names in (("part", ("p_name", "p_brand", "p_type")), ("customer", ("c_name", "c_mktsegment")), ("documents", ("text", "lang", "source")))
     ]
     return joined_issues(found[0].unionAll(found[1]).unionAll(found[2]))
 
