@@ -36,9 +36,11 @@ from tableward.session import stage, sweep
 LENGTH, SEED = 100, 32
 WINDOWS = LENGTH - SEED + 1
 #: Different segments of an anchor that are sorted in one task, and segments sorted at a time.
-CROWD, BATCH = 5_000, 2_000
+CROWD, BATCH = 1_000, 500
 LAST = 2**63 - 1
 _PLACE = "id long, mark long, start long, count long"
+# For a second, independent hash.
+_OTHER = rolling.mix(rolling.BYTES)
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, rolling.Prefix | None]:
@@ -168,12 +170,20 @@ def _starts(rows: list[dict]) -> tuple[np.ndarray, ...]:
 def repeated_starts(rows: list[dict]) -> pa.RecordBatch | None:
     """The starts in these segments whose previous factor is long enough, as stretches of starts."""
     strings, owner, start = _starts(rows)
-    ids, marks = (np.array([r[k] for r in rows], np.int64)[owner] for k in ("id", "mark"))
+    ids, marks = _whose(rows, owner)
     order = np.lexsort((start, ids))
     step = np.concatenate([[False], (ids[order][1:] != ids[order][:-1]) | (start[order][1:] != start[order][:-1])])
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(step)
-    found = np.flatnonzero(previous_factors(strings, place) >= LENGTH)
+    return _ranges(np.flatnonzero(previous_factors(strings, place) >= LENGTH), owner, ids, marks, start)
+
+
+def _whose(rows: list[dict], owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    return tuple(np.array([r[k] for r in rows], np.int64)[owner] for k in ("id", "mark"))
+
+
+def _ranges(found: np.ndarray, owner: np.ndarray, ids: np.ndarray, marks: np.ndarray, start: np.ndarray) -> pa.RecordBatch | None:
+    """Repeated starts, by their positions among all, as ranges within each segment."""
     if not len(found):
         return None
     new = np.concatenate([[True], (np.diff(found) != 1) | (np.diff(owner[found]) != 0)])
@@ -202,21 +212,38 @@ def sorted_repeats(rows: DataFrame) -> DataFrame:
 
 
 def hashed_repeats(rows: DataFrame) -> DataFrame:
-    """The same for anchors with very many segments: equal strings meet by two hashes, and the earliest stays."""
+    """The same for anchors with very many segments: equal strings meet by two hashes, and the earliest stays.
+
+    Of equal strings among the rows at hand only the earliest goes on; the others are repeats already.
+    """
+    names = ["one", "two", "id", "mark", "start", "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                raw = np.frombuffer(row["bytes"], np.uint8).astype(np.uint64)
-                one, two = (rolling.Prefix(rolling.mix(raw + np.uint64(k))).windows(LENGTH).view(np.int64) for k in (1, 257))
-                start = np.arange(len(one)) + row["at"] - row["before"]
-                columns = one, two, np.full(len(one), row["id"]), np.full(len(one), row["mark"]), start
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["one", "two", "id", "mark", "start"])
-
-    strings = rows.mapInArrow(run, "one long, two long, id long, mark long, start long").distinct()
-    first = strings.groupBy("one", "two").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH).to_pylist()
+                _, owner, start = _starts(part)
+                ids, marks = _whose(part, owner)
+                raw = [np.frombuffer(r["bytes"], np.uint8) for r in part]
+                one, two = (np.concatenate([rolling.Prefix(table[r]).windows(LENGTH) for r in raw]).view(np.int64) for table in (rolling.BYTES, _OTHER))
+                order = np.lexsort((start, ids, two, one))
+                again = np.concatenate([[False], (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])])
+                first = order[~again]
+                columns = one[first], two[first], ids[first], marks[first], start[first], np.zeros(len(first), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                before = np.maximum.accumulate(np.where(again, -1, np.arange(len(order))))  # the earliest of the same
+                later = (ids[order] != ids[order[before]]) | (start[order] != start[order[before]])
+                if (known := _ranges(np.sort(order[again & later]), owner, ids, marks, start)) is not None:
+                    nothing = pa.array(np.zeros(known.num_rows, np.int64))
+                    yield pa.RecordBatch.from_arrays([nothing, nothing, *known.columns], names)
+
+    told = stage(rows.mapInArrow(run, "one long, two long, " + _PLACE), "strings")
+    strings = told.where("count = 0").drop("count")
+    first = strings.groupBy("one", "two").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = strings.join(first, ["one", "two"]).where(F.struct("id", "start") > F.col("first"))
-    return later.select("id", "mark", "start", F.lit(1).cast("long").alias("count"))
+    return told.where("count > 0").select("id", "mark", "start", "count").unionByName(
+        later.select("id", "mark", "start", F.lit(1).cast("long").alias("count"))
+    )
 
 
 def later_copies(docs: DataFrame) -> DataFrame:
