@@ -38,15 +38,15 @@ SMALL, LEVELS = 64, 3
 _BLOCK = 1 << 16
 
 
-def shingle_hashes(text: str | None):
+def shingle_hashes(text: str | None, size: int = SHINGLE):
     """XXH64 of every shingle, in blocks; A-Z are taken as a-z."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return
     joined = b" ".join(words)
     ends = list(accumulate((len(w) + 1 for w in words), initial=-1))  # where the words end; the first entry is before the text
-    n = max(len(words) - SHINGLE + 1, 1)
-    last = min(SHINGLE, len(words))
+    n = max(len(words) - size + 1, 1)
+    last = min(size, len(words))
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, _BLOCK):
         to = min(at + _BLOCK, n)
@@ -144,6 +144,11 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
     found = join_facts(printed, F.col("fp"), classes(printed), "fp", F.col("row"), "class")
     grouped = stage(found.select("row", "doc_id", F.coalesce("class.root", "fp").alias("root")), "grouped")
+    return only_first(numbered, row, grouped)
+
+
+def only_first(numbered: DataFrame, row: str, grouped: DataFrame) -> DataFrame:
+    """``numbered`` without its column ``row`` and the rows that ``grouped`` (``row, doc_id, root``) has beside a group's first."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     several = grouped.groupBy("root").agg(first, F.count("*").alias("n")).where("n > 1").select("root", "first.row")
     judged = join_facts(grouped, F.col("root"), several, "root", F.col("row"), "stays")
