@@ -211,6 +211,25 @@ def test_weak_parts_need_each_other(spark):
     assert all(found[k] == [] for k in (1, 2, 3, 4, 7))
 
 
+def test_weak_parts_of_any_length():
+    rng = random.Random(13)
+    key = "".join(rng.choice("abcdeABCDE0123456789+/") for _ in range(700)) + "aA01"
+    for text in ("private_key=" + key, "auth: " + key, key, key[:129]):
+        assert credentials.parts(text, []) == [("secret_part", 0, len(text))]
+    for text in ("https://db.example.com/" + "x" * 600, "host: " + "db." * 200 + "local"):
+        assert credentials.parts(text, []) == [("endpoint_part", 0, len(text))]
+    assert credentials.parts("user: " + "a1" * 300, []) == [("id_part", 0, 606)]
+
+
+def test_weak_parts_of_long_runs_are_fast():
+    import time
+
+    for text in ("aB01" * 500_000, "user=" + "x" * 2_000_000, "pwd:" * 500_000, "https://" + "a/" * 1_000_000):
+        began = time.perf_counter()
+        credentials.parts(text, [])
+        assert time.perf_counter() - began < 5
+
+
 def test_linking_equals_all_pairs(spark):
     rng = random.Random(6)
     kinds = ("id_part", "secret_part", "endpoint_part", "id_base", "secret_base")
