@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableward.llm import blocks, bpe, credentials, hostrules, langid, mixing, pii, recipes, simhash, suffixes
+from tableward.llm import blocks, bpe, credentials, hostrules, langid, mixing, phrases, pii, recipes, simhash, suffixes, tokencounts, whitening
 from tableward.llm.common import documents
 
 WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')"
@@ -84,6 +84,33 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipes.exact_duplicates(documents(spark, sf_dir))
 
 
+#: Tokens beyond which a document is over the limit.
+TOKEN_LIMIT = 4096
+
+
+def op11_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and how many of its characters fit the limit."""
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counts = F.col("counts")
+    n_tokens = tokencounts.total(counts).cast("long")
+    return tokencounts.prefix_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), n_tokens.alias("n_tokens"),
+        (n_tokens > TOKEN_LIMIT).alias("over_limit"), tokencounts.characters_within(counts, TOKEN_LIMIT).cast("long").alias("n_chars_within"),
+    )
+
+
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first components of every embedding, whitened."""
+    return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+
+
+def op13_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 OP4_SQL = rf"""
 WITH listed AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {WORDS_SQL} AS words FROM documents),
 lines AS (
@@ -173,6 +200,36 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP13_SQL = f"""
+WITH named AS (
+  SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \\x09]+') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM named)),
+sizes AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+runs AS (
+  SELECT lang, w, array_to_string(words[i:i + w - 1], ' ') AS phrase
+  FROM (SELECT lang, words, w, unnest(range(1, len(words) - w + 2)) AS i FROM pieces, (SELECT unnest(range(1, {phrases.WORDS + 1})) AS w))),
+counted AS (SELECT lang, w, phrase, count(*) AS f FROM runs GROUP BY lang, w, phrase HAVING count(*) >= {phrases.LEAST}),
+candidates AS (SELECT lang, w, phrase, string_split(phrase, ' ') AS words, f AS a FROM counted WHERE w > 1),
+cuts AS (SELECT *, unnest(range(1, w)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, CAST(CAST({phrases.SCALE} AS HUGEINT) * c.a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cuts AS c
+  JOIN counted AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN counted AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.k + 1:c.w], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1),
+inside AS (
+  SELECT lang, array_to_string(words[s:s + v - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, w - v + 2)) AS s FROM (SELECT *, unnest(range(2, w)) AS v FROM candidates)) GROUP BY ALL),
+ranked AS (
+  SELECT scored.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST({phrases.COVERED} AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_rank_order_language": (op1_rank_order_language, None),
     "op2_semicrf_pii": (op2_semicrf_pii, None),
@@ -184,4 +241,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_covering_simhash": (op8_covering_simhash, None),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_chunk_recipes": (op10_chunk_recipes, OP10_SQL),
+    "op11_prefix_counts": (op11_prefix_counts, None),
+    "op12_exact_whitening": (op12_exact_whitening, None),
+    "op13_trie_phrases": (op13_trie_phrases, OP13_SQL),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
@@ -157,3 +158,37 @@ def tokenizer():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def collocations(rows, least=30, top=2000):
+    """(lang, text) -> (lang, rank, phrase, a, l, r, n, score)."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts, sizes, out = defaultdict(Counter), Counter(), []
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            sizes[lang] += len(words)
+            counts[lang].update(tuple(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    for lang, known in counts.items():
+        candidates = {p: a for p, a in known.items() if len(p) > 1 and a >= least}
+        covered = {p[i : i + k] for p, a in candidates.items() for k in range(2, len(p)) for i in range(len(p) - k + 1) if 100 * a >= 80 * known[p[i : i + k]]}
+        scored = []
+        for p, a in candidates.items():
+            if p not in covered:
+                score, k = min((2000000 * a // (known[p[:k]] + known[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), known[p[:k]], known[p[k:]]))
+        out += [(lang, i, p.decode(), -a, l, r, sizes[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(scored)[:top], 1)]
+    return out
+
+
+def whitened(vectors, most=16):
+    """Usable vectors -> per vector its deviation, and the eigenvalues, and the whitened matrix up to signs."""
+    x = [[int(np.floor(64 * float(c))) + 1000000 for c in v] for v in vectors]
+    fit = sorted(set(map(tuple, x)))
+    n, sums = len(fit), [sum(column) for column in zip(*fit)]
+    deviations = [sum((n * v - s) ** 2 for v, s in zip(row, sums)) for row in x]
+    centred = np.array(fit, float) - np.array(sums, float) / n
+    values, found = np.linalg.eigh(centred.T @ centred / n)
+    values, found = values[::-1][:most], found[:, ::-1][:, :most]
+    return n, deviations, values, values / np.trace(centred.T @ centred / n), (np.array(x, float) - np.array(sums, float) / n) @ found / np.sqrt(values)

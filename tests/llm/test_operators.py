@@ -68,6 +68,7 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_on_empty_table(spark, none, tmp_path, name):
     none.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert QUERIES[name][0](spark, str(tmp_path)).count() == 0
 
 
