@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableward.llm import bitmaps
+from tableward.llm.bitmaps import Bitmap
 from tableward.llm.rolling import mix
 from tableward.session import stage
 
@@ -39,8 +41,6 @@ UNKNOWN = "und"
 SHARES = 64
 #: Phrases of a container until it bursts; phrases a task holds; words it numbers; bytes read at a time.
 BURST, ENTRIES, NUMBERED, BLOCK = 4096, 1_000_000, 1 << 20, 1 << 20
-#: Bits of the bitmap: for each frequent phrase, at least, at most; and of one part of it.
-SPARSE, FEWEST, MOST, PART = 32, 16, 28, 15
 _END = b"\xff"  # no byte of a text
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _END * 10 + b" ")
 _ID = 21
@@ -86,19 +86,6 @@ def _seed(lang: str) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 1)], np.uint64)
 
 
-class Bitmap:
-    """Hashes that may be there; all others are not."""
-
-    def __init__(self, bits: int, parts: dict[int, bytes]):
-        self.bits, self.raw = bits, np.zeros((1 << bits) // 8, np.uint8)
-        for at, part in parts.items():
-            self.raw[at << (PART - 3) : (at + 1) << (PART - 3)] = np.frombuffer(part, np.uint8)
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> np.uint64(64 - self.bits)
-        return (self.raw[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 class Trie:
     """Counts of phrases of ``words`` words as a trie on the first, and containers of the packed rest below."""
 
@@ -284,8 +271,7 @@ def counted(docs: DataFrame, words: int, known: Bitmap | None = None) -> DataFra
 
 
 def bitmap(frequent: DataFrame) -> Bitmap:
-    """The hashes of ``lang, phrase``; its size follows their number up to 2^MOST bits, and each task makes a part."""
-    bits = min(max((frequent.count() * SPARSE).bit_length(), FEWEST), MOST)
+    """The hashes of ``lang, phrase``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,19 +281,9 @@ def bitmap(frequent: DataFrame) -> Bitmap:
                 for word in phrase.encode("utf-8", "surrogatepass").split(b" "):
                     value = _extended(value, np.uint64(_word_hash(word)))
                 found.append(value[0])
-            at = np.array(found, np.uint64) >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> np.uint64(PART)).astype(np.int32)), pa.array((at & np.uint64((1 << PART) - 1)).astype(np.int32))], names=["part", "bit"]
-            )
-
-    def packed(table: pa.Table) -> pa.Table:
-        flags = np.zeros(1 << PART, np.uint8)
-        flags[table.column("bit").to_numpy()] = 1
-        return pa.table({"part": table.column("part")[:1], "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
-
-    parts = frequent.select("lang", "phrase").mapInArrow(hashed, "part int, bit int").distinct()
-    got = parts.groupBy("part").applyInArrow(packed, "part int, bits binary").collect()
-    return Bitmap(bits, {r.part: bytes(r.bits) for r in got})
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], names=["hash"])
+
+    return bitmaps.collect(frequent.select("lang", "phrase").mapInArrow(hashed, "hash long"), frequent.count())
 
 
 def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST) -> tuple[DataFrame, DataFrame]:

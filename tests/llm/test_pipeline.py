@@ -5,6 +5,7 @@ from tableward import session
 from tableward.llm.queries import OP4_SQL
 from tests.compare import TESTDATA, connection
 from tests.llm import brute
+from tests.llm.test_jaccard import groups
 from tests.llm.test_operators import bag
 
 SF = f"{TESTDATA}/sf0.001"
@@ -16,7 +17,7 @@ def plain(sf_dir):
     rows = [r for r in con.execute("SELECT doc_id, text, source FROM documents ORDER BY doc_id").fetchall() if r[0] in good]
     last = {text: d for d, text, _ in rows}  # the largest id of a text stays
     rows = [r for r in rows if last[r[1]] == r[0]]
-    roots = brute.groups([brute.fingerprint(t) for _, t, _ in rows])
+    roots = groups([t for _, t, _ in rows])
     rows = [r for i, r in enumerate(rows) if roots[i] == i]  # the smallest id of a group stays
     known, out = brute.tokenizer(), []
     for (d, text, _), (*_, copies) in zip(rows, brute.mix(rows)):
