@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from tableward.registry.base import DIRTY_BODY, DIRTY_KINDS, DIRTY_SQL, NOW, query, table
 from tableward.registry.cleaning import CLEANED, doubles, swap
-from tableward.session import checkpoint_root
+from tableward.session import place
 from tableward.streaming import jobs as J
 
 _TEXT = [n for n, (k, _) in DIRTY_KINDS.items() if k == "text"]
@@ -25,10 +22,6 @@ def _tidy_or_token(n: str) -> str:
 _HELD = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE 1 END" for n in DIRTY_KINDS if n not in _TEXT)
 
 
-def _place(spark, label: str) -> str:
-    return os.path.join(checkpoint_root(spark), "tableward", f"{label}-{uuid.uuid4().hex}")
-
-
 def _soiled_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -42,20 +35,20 @@ def _soiled_stream(spark, sf_dir):
 )
 def stream_clean(spark, sf_dir):
     """Row-local cleaning: stream to a Parquet sink, then read the sink."""
-    out = _place(spark, "stream-rows")
-    J.stream_rows_to(_soiled_stream(spark, sf_dir), out, _place(spark, "cp"), now=NOW).awaitTermination()
+    out = place(spark, "stream-rows")
+    J.stream_rows_to(_soiled_stream(spark, sf_dir), out, place(spark, "cp"), now=NOW).awaitTermination()
     return spark.read.parquet(out)
 
 
 @query(CLEANED + "SELECT * FROM cleaned")
 def stream_clean_batches(spark, sf_dir):
     """Table-level cleaning per micro-batch; the table is one file, hence one batch."""
-    out = _place(spark, "stream-batches")
+    out = place(spark, "stream-batches")
 
     def write(df, number):
         df.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    J.stream_clean(_soiled_stream(spark, sf_dir), write, _place(spark, "cp"), now=NOW).awaitTermination()
+    J.stream_clean(_soiled_stream(spark, sf_dir), write, place(spark, "cp"), now=NOW).awaitTermination()
     return doubles(spark.read.parquet(out).drop("batch"), "event_id", "user_id")
 
 
@@ -67,9 +60,9 @@ def stream_distinct(spark, sf_dir):
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
         .select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
     )
-    out = _place(spark, "stream-distinct")
+    out = place(spark, "stream-distinct")
     unique = J.distinct_within(stream.unionAll(stream), ["event_id"], "ts", "1 day")
-    writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", _place(spark, "cp"))
+    writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", place(spark, "cp"))
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -5,8 +5,6 @@ Also the branches that only large tables take, forced on the given ones.
 
 from __future__ import annotations
 
-import os
-import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +23,7 @@ from tableward.registry import assessing, cleaning, exploring  # noqa: F401
 from tableward.registry.assessing import joined_issues
 from tableward.registry.base import _REGISTRY, NOW, dirty, query, rounded, table, union
 from tableward.registry.cleaning import doubles
-from tableward.session import checkpoint_root
+from tableward.session import place
 from tableward.sources import manifest as Mf
 from tableward.sources import readers as R
 from tableward.sources import sinks as K
@@ -38,10 +36,6 @@ _TABLES = (
 _SHIFT = 1541815603606036480
 
 
-def _place(spark: SparkSession, label: str) -> str:
-    return os.path.join(checkpoint_root(spark), "tableward", f"{label}-{uuid.uuid4().hex}")
-
-
 def _loaded(spark: SparkSession, path: str) -> DataFrame:
     """What the readers make of all files of a folder, without the files' names."""
     parts = list(R.load(spark, Mf.list_files(spark, path)))
@@ -57,7 +51,7 @@ def _loaded(spark: SparkSession, path: str) -> DataFrame:
 @query(f"SELECT l_orderkey + {_SHIFT} AS order_id, l_linenumber, l_quantity, l_shipdate < TIMESTAMP '1997-01-01' AS early FROM lineitem")
 def csv_ids(spark, sf_dir):
     """Ids of 19 digits through CSV: they stay whole numbers, each what it was."""
-    out = _place(spark, "csv-ids")
+    out = place(spark, "csv-ids")
     lines = table(spark, sf_dir, "lineitem")
     rows = lines.select(
         (F.col("l_orderkey") + _SHIFT).alias("order_id"), "l_linenumber", "l_quantity", (F.col("l_shipdate") < "1997-01-01").alias("early")
@@ -69,7 +63,7 @@ def csv_ids(spark, sf_dir):
 @query("SELECT concat('9', CAST(l_orderkey + 1000000000000000000 AS VARCHAR)) AS order_id, count(*) AS n FROM lineitem GROUP BY l_orderkey")
 def csv_ids_beyond_bigint(spark, sf_dir):
     """Ids of 20 digits stay text."""
-    out = _place(spark, "csv-long-ids")
+    out = place(spark, "csv-long-ids")
     key = F.concat(F.lit("9"), (F.col("l_orderkey") + 10**18).cast("string"))
     table(spark, sf_dir, "lineitem").select(key.alias("order_id")).write.option("header", "true").csv(f"{out}/lines")
     return _loaded(spark, out).groupBy("order_id").agg(F.count("*").alias("n"))
@@ -81,7 +75,7 @@ def csv_ids_beyond_bigint(spark, sf_dir):
 )
 def csv_header_clash(spark, sf_dir):
     """Headers that take lineage names, or differ in case only."""
-    out = _place(spark, "csv-clash")
+    out = place(spark, "csv-clash")
     orders = table(spark, sf_dir, "orders")
     cells = F.concat_ws(",", "o_orderpriority", "o_orderstatus", "o_orderkey", "o_custkey")
     # Every file needs the header: each partition begins with it.
@@ -95,7 +89,7 @@ def csv_header_clash(spark, sf_dir):
 
 def _delimited(sep: str):
     def run(spark, sf_dir):
-        out = _place(spark, "delimited")
+        out = place(spark, "delimited")
         parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
         parts.write.option("header", "true").option("sep", sep).option("extension", "txt").csv(f"{out}/parts")
         return _loaded(spark, out)
@@ -131,7 +125,7 @@ def _json_files(spark: SparkSession, path: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def json_arrays(spark, sf_dir):
-    out = _place(spark, "json-arrays")
+    out = place(spark, "json-arrays")
     _documents(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"), "event_type", f"{out}/events")
     parts = list(R.load(spark, _json_files(spark, out)))
     return K.union_widened([p.rows.drop(R.PATH) for p in parts])
@@ -139,7 +133,7 @@ def json_arrays(spark, sf_dir):
 
 @query("SELECT n_nationkey, n_name FROM nation")
 def json_objects(spark, sf_dir):
-    out = _place(spark, "json-objects")
+    out = place(spark, "json-objects")
     one = table(spark, sf_dir, "nation").select(F.to_json(F.struct("n_nationkey", "n_name")).alias("value"))
     one.write.option("maxRecordsPerFile", 1).text(f"{out}/nations")
     rows = K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, _json_files(spark, out))])
@@ -148,7 +142,7 @@ def json_objects(spark, sf_dir):
 
 @query("SELECT r_name AS data FROM region")
 def json_values(spark, sf_dir):
-    out = _place(spark, "json-values")
+    out = place(spark, "json-values")
     table(spark, sf_dir, "region").select(F.concat(F.lit('"'), "r_name", F.lit('"')).alias("value")).write.option("maxRecordsPerFile", 1).text(f"{out}/r")
     return K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, _json_files(spark, out))])
 
@@ -159,7 +153,7 @@ def json_values(spark, sf_dir):
 )
 def plain_text_files(spark, sf_dir):
     """Lines of text files with their numbers, one file per priority."""
-    out = _place(spark, "plain-text")
+    out = place(spark, "plain-text")
     lines = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", F.concat(F.lit("order "), "o_orderkey").alias("value"))
     ordered = lines.repartition(4, "o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
     ordered.select(F.col("o_orderpriority").alias("priority"), "value").write.partitionBy("priority").text(out)
@@ -170,7 +164,7 @@ def plain_text_files(spark, sf_dir):
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def xml_records(spark, sf_dir):
-    out = _place(spark, "xml")
+    out = place(spark, "xml")
     table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("rowTag", "row").option("extension", "xml").xml(f"{out}/c")
     files = Mf.list_files(spark, out).withColumn("kind", F.lit("xml"))
     return K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, files)])
@@ -184,7 +178,7 @@ def xml_records(spark, sf_dir):
 )
 def raw_replaced(spark, sf_dir):
     """Raw rows by source file; one file comes again, changed, and replaces its rows."""
-    out = _place(spark, "lake")
+    out = place(spark, "lake")
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_totalprice").alias("price"), F.lit(NOW).cast("timestamp_ntz").alias("ingested_at"), F.col("o_orderpriority").alias("source_file")
     )
@@ -196,14 +190,14 @@ def raw_replaced(spark, sf_dir):
 
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def cleaned_sink(spark, sf_dir):
-    out = _place(spark, "lake")
+    out = place(spark, "lake")
     K.write_cleaned(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal"), out, "suppliers")
     return K.read_cleaned(spark, out, "suppliers")
 
 
 @query("SELECT n_regionkey AS region, list_sort(list(n_name)) AS nations, count(*) AS n FROM nation GROUP BY n_regionkey")
 def summary_sink(spark, sf_dir):
-    out = _place(spark, "lake")
+    out = place(spark, "lake")
     rows = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("region")).agg(F.sort_array(F.collect_list("n_name")).alias("nations"), F.count("*").alias("n"))
     K.write_summary(rows, out, "nations")
     return K.read_summary(spark, out, "nations", rows.schema)
@@ -211,7 +205,7 @@ def summary_sink(spark, sf_dir):
 
 @query("SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS cleaned_at FROM orders")
 def csv_export(spark, sf_dir):
-    out = _place(spark, "export")
+    out = place(spark, "export")
     K.export_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderdate").alias("cleaned_at")), out)
     return K.read_cleaned_csv(spark, out).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
@@ -236,7 +230,7 @@ def listed_total(spark, sf_dir):
 
 @query("SELECT DISTINCT o_orderstatus AS container FROM orders")
 def listed_containers(spark, sf_dir):
-    out = _place(spark, "containers")
+    out = place(spark, "containers")
     table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey").write.partitionBy("o_orderstatus").parquet(out)
     found = Mf.list_containers(Mf.list_files(spark, out))
     return found.select(F.regexp_extract("container", "=(.*)$", 1).alias("container"))
@@ -251,7 +245,7 @@ def listed_containers(spark, sf_dir):
 )
 def ingest_cycles(spark, sf_dir):
     """Two ingest cycles over CSV files: new files, then one changed."""
-    src, root = _place(spark, "store"), _place(spark, "lake")
+    src, root = place(spark, "store"), place(spark, "lake")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", F.col("event_type").alias("kind"))
 
     def put(rows: DataFrame) -> None:
@@ -274,7 +268,7 @@ def ingest_cycles(spark, sf_dir):
 )
 def isolated_error(spark, sf_dir):
     """One file has a row that is too long: it is logged as an error, the other is ingested and cleaned."""
-    src, root = _place(spark, "store"), _place(spark, "lake")
+    src, root = place(spark, "store"), place(spark, "lake")
     table(spark, sf_dir, "nation").coalesce(1).write.option("header", "true").csv(f"{src}/good")
     lines = table(spark, sf_dir, "region").select(F.explode(F.array(F.lit("a,b"), F.lit("1,2,3"))).alias("value"))
     lines.coalesce(1).write.text(f"{src}/bad")

@@ -56,6 +56,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def place(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; it belongs to the current owner, and ``release`` deletes what is written there."""
+    path = os.path.join(checkpoint_root(spark), "tableward", f"{label}-{uuid.uuid4().hex}")
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append((_OWNER.get(), path))
+    return path
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -64,7 +71,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     it needs; the files outlive any executor.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_root(spark), "tableward", f"{label}-{uuid.uuid4().hex}")
+    path = place(spark, label)
     fixed = df.select(
         *[
             F.col(f"`{f.name}`").cast("string").alias(f.name)
@@ -74,7 +81,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
         ]
     )
     fixed.write.parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append((_OWNER.get(), path))
     return spark.read.schema(fixed.schema).parquet(path)
 
 
