@@ -399,10 +399,16 @@ def row_slice(
 # -- dashboard figures -------------------------------------------------------
 
 def overview(
-    df: DataFrame, overall_score: Column | float | None = None, now: datetime | str | None = None,
+    df: DataFrame, overall_score: DataFrame | Column | float | None = None, now: datetime | str | None = None,
     cleaned_at: str = "cleaned_at",
 ) -> DataFrame:
-    """Rows, columns, quality score and hours since the newest cleaning."""
+    """Rows, columns, quality score and hours since the newest cleaning.
+
+    The score may be a report, one row with ``overall_score``, as ``assess`` makes it or as the
+    summary sink holds it; without a row the score is NULL.
+    """
+    if isinstance(overall_score, DataFrame):
+        overall_score = overall_score.select("overall_score").scalar()
     latest = F.max(col(cleaned_at).cast("timestamp_ntz")) if cleaned_at in df.columns else F.lit(None).cast("timestamp_ntz")
     score = overall_score if isinstance(overall_score, Column) else F.lit(overall_score).cast("double")
     age = F.timestamp_diff("MICROSECOND", F.col("latest"), instant(now)) / F.lit(3_600_000_000.0)

@@ -10,7 +10,7 @@ from tableward.functions import scalars as S
 from tableward.functions.names import cleaned_name, raw_name, summary_name
 from tableward.operators import assess as A
 from tableward.operators import explore as E
-from tableward.registry.assessing import DIRTY_SCORES
+from tableward.registry.assessing import _OVERALL, DIRTY_SCORES
 from tableward.registry.base import (
     DIRTY_KINDS, DIRTY_SQL, LINEITEM_NUMBERS, NOW, dirty, query, rounded, table, union,
 )
@@ -336,11 +336,16 @@ def dataset_names(spark, sf_dir):
 
 
 @query(
-    f"""SELECT count(*) AS total_rows, 6 AS total_columns, CAST(87.5 AS DOUBLE) AS quality_score,
-       round(CAST(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) / 3600000000, 6) AS data_age_hours FROM events"""
+    f"""{DIRTY_SCORES}, found AS (SELECT total_rows, total_columns, {_OVERALL} FROM scores)
+    SELECT total_rows, total_columns, overall_score AS quality_score,
+      (SELECT round(CAST(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) / 3600000000, 6) FROM dirty) AS data_age_hours
+    FROM found"""
 )
 def overview(spark, sf_dir):
-    found = E.overview(table(spark, sf_dir, "events"), 87.5, "2024-02-01 00:00:00", "ts")
+    """The score comes from the table's own report."""
+    soiled = dirty(spark, sf_dir)
+    report = rounded(A.quality_scores(soiled, now=NOW), 4, "overall_score")
+    found = E.overview(soiled, report, "2024-02-01 00:00:00", "ts")
     return rounded(found, 6, "data_age_hours")
 
 

@@ -52,13 +52,13 @@ def stream_clean_batches(spark, sf_dir):
     return doubles(spark.read.parquet(out).drop("batch"), "event_id", "user_id")
 
 
-@query("SELECT event_id, ts, user_id, event_type FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_distinct(spark, sf_dir):
     """Duplicates across micro-batches, within the watermark."""
     schema = table(spark, sf_dir, "events").schema
     stream = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-        .select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+        .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     out = place(spark, "stream-distinct")
     unique = J.distinct_within(stream.unionAll(stream), ["event_id"], "ts", "1 day")

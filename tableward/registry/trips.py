@@ -27,6 +27,7 @@ from tableward.session import place
 from tableward.sources import manifest as Mf
 from tableward.sources import readers as R
 from tableward.sources import sinks as K
+from tableward.sources import snapshots as V
 from tableward.streaming import jobs as J
 
 _TABLES = (
@@ -113,10 +114,16 @@ def decode_latin(spark, sf_dir):
 # -- JSON and plain text -----------------------------------------------------------
 
 
+#: Records of a JSON array.
+_ARRAY = 4096
+
+
 def _documents(rows: DataFrame, key: str, path: str) -> None:
-    """One JSON array per value of ``key``, each a file."""
+    """JSON arrays of some ``_ARRAY`` records with the same ``key``, each a file."""
+    buckets = rows.count() // _ARRAY + 1
     fields = F.to_json(F.collect_list(F.struct(*[c for c in rows.columns])))
-    rows.groupBy(key).agg(fields.alias("value")).select("value").write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
+    dealt = rows.groupBy(key, F.pmod(F.xxhash64(*rows.columns), F.lit(buckets)).alias("bucket")).agg(fields.alias("value"))
+    dealt.select("value").write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
 
 
 def _json_files(spark: SparkSession, path: str) -> DataFrame:
@@ -131,19 +138,20 @@ def json_arrays(spark, sf_dir):
     return K.union_widened([p.rows.drop(R.PATH) for p in parts])
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def json_objects(spark, sf_dir):
+    """One object a file."""
     out = place(spark, "json-objects")
-    one = table(spark, sf_dir, "nation").select(F.to_json(F.struct("n_nationkey", "n_name")).alias("value"))
-    one.write.option("maxRecordsPerFile", 1).text(f"{out}/nations")
-    rows = K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, _json_files(spark, out))])
-    return rows.withColumn("n_nationkey", F.col("n_nationkey").cast("int"))
+    one = table(spark, sf_dir, "supplier").select(F.to_json(F.struct("s_suppkey", "s_name", "s_acctbal")).alias("value"))
+    one.write.option("maxRecordsPerFile", 1).text(f"{out}/suppliers")
+    return K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, _json_files(spark, out))])
 
 
-@query("SELECT r_name AS data FROM region")
+@query("SELECT s_name AS data FROM supplier")
 def json_values(spark, sf_dir):
+    """One text a file."""
     out = place(spark, "json-values")
-    table(spark, sf_dir, "region").select(F.concat(F.lit('"'), "r_name", F.lit('"')).alias("value")).write.option("maxRecordsPerFile", 1).text(f"{out}/r")
+    table(spark, sf_dir, "supplier").select(F.concat(F.lit('"'), "s_name", F.lit('"')).alias("value")).write.option("maxRecordsPerFile", 1).text(f"{out}/s")
     return K.union_widened([p.rows.drop(R.PATH) for p in R.load(spark, _json_files(spark, out))])
 
 
@@ -195,12 +203,24 @@ def cleaned_sink(spark, sf_dir):
     return K.read_cleaned(spark, out, "suppliers")
 
 
-@query("SELECT n_regionkey AS region, list_sort(list(n_name)) AS nations, count(*) AS n FROM nation GROUP BY n_regionkey")
+@query("SELECT o_custkey AS customer, list_sort(list(o_orderkey)) AS order_keys, count(*) AS n FROM orders GROUP BY o_custkey")
 def summary_sink(spark, sf_dir):
     out = place(spark, "lake")
-    rows = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("region")).agg(F.sort_array(F.collect_list("n_name")).alias("nations"), F.count("*").alias("n"))
-    K.write_summary(rows, out, "nations")
-    return K.read_summary(spark, out, "nations", rows.schema)
+    keys = F.sort_array(F.collect_list("o_orderkey")).alias("order_keys")  # of one customer
+    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("customer")).agg(keys, F.count("*").alias("n"))
+    K.write_summary(rows, out, "customers")
+    return K.read_summary(spark, out, "customers", rows.schema)
+
+
+@query("SELECT o_orderkey, o_totalprice + 2 AS price, 3 AS versions FROM orders")
+def table_versions(spark, sf_dir):
+    """Three versions, each made from the one before while it is read; one of them is deleted."""
+    out = place(spark, "versions")
+    V.publish(table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price")), out)
+    for _ in range(2):
+        V.publish(spark.read.parquet(V.current(spark, out)).withColumn("price", F.col("price") + 1), out)
+    known = V.versions(spark, out)
+    return spark.read.parquet(V.current(spark, out)).withColumn("versions", F.lit(known[-1][0]).cast("int"))
 
 
 @query("SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS cleaned_at FROM orders")
@@ -236,6 +256,45 @@ def listed_containers(spark, sf_dir):
     return found.select(F.regexp_extract("container", "=(.*)$", 1).alias("container"))
 
 
+def _lines(rows: DataFrame, path: str) -> None:
+    """One text file for each value of ``part``, with its lines by ``at``."""
+    ordered = rows.repartition(8, "part").sortWithinPartitions("part", "at")
+    ordered.select("part", "value").write.partitionBy("part").text(path)
+
+
+@query(
+    "SELECT strftime(o_orderdate, '%Y-%m') AS part, md5(string_agg(concat('order ', o_orderkey, chr(10)), '' ORDER BY o_orderkey)) AS etag, "
+    "CAST(sum(length(concat('order ', o_orderkey)) + 1) AS BIGINT) AS size FROM orders GROUP BY 1"
+)
+def file_bytes(spark, sf_dir):
+    """Bytes of files with their checksums, one file a month."""
+    out = place(spark, "bytes")
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    _lines(orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("part"), key.alias("at"), F.concat(F.lit("order "), key).alias("value")), out)
+    return Mf.read_content(spark, out, "*.txt").select(
+        F.regexp_extract("name", "part=([^/]*)/", 1).alias("part"), "etag", F.length("content").cast("bigint").alias("size")
+    )
+
+
+@query(
+    """WITH found AS (SELECT concat(o_orderstatus, left(o_orderpriority, 1)) AS part, CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS size
+      FROM orders GROUP BY 1), lim AS (SELECT CAST(floor(avg(size)) AS BIGINT) AS most FROM found)
+    SELECT part, size, CASE WHEN size > most THEN concat('exceeds maximum size limit of ', most, ' bytes') END AS error_message FROM found, lim"""
+)
+def refused_files(spark, sf_dir):
+    """Files above a limit are refused with the reason; the limit is their mean size."""
+    out = place(spark, "sizes")
+    key = F.col("o_orderkey")
+    part = F.concat("o_orderstatus", F.substring("o_orderpriority", 1, 1))
+    _lines(table(spark, sf_dir, "orders").select(part.alias("part"), key.alias("at"), key.cast("string").alias("value")), out)
+    files = _json_files(spark, out)
+    most = files.agg(F.floor(F.avg("size"))).first()[0]
+    taken, refused = Mf.split_by_size(files, replace(DEFAULTS, max_file_bytes=most))
+    both = taken.withColumn("error_message", F.lit(None).cast("string")).unionByName(refused)
+    return both.select(F.regexp_extract("name", "part=([^/]*)/", 1).alias("part"), "size", "error_message")
+
+
 # -- cycles ------------------------------------------------------------------------------
 
 
@@ -264,12 +323,13 @@ def ingest_cycles(spark, sf_dir):
 
 
 @query(
-    "SELECT 'good' AS file, 'completed' AS status, count(*) AS rows FROM nation UNION ALL SELECT DISTINCT 'bad.csv', 'error', 0 FROM region"
+    "SELECT 'good' AS file, 'completed' AS status, count(*) AS rows FROM orders UNION ALL SELECT DISTINCT 'bad.csv', 'error', 0 FROM region"
 )
 def isolated_error(spark, sf_dir):
     """One file has a row that is too long: it is logged as an error, the other is ingested and cleaned."""
     src, root = place(spark, "store"), place(spark, "lake")
-    table(spark, sf_dir, "nation").coalesce(1).write.option("header", "true").csv(f"{src}/good")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    orders.repartition(4).write.option("header", "true").csv(f"{src}/good")
     lines = table(spark, sf_dir, "region").select(F.explode(F.array(F.lit("a,b"), F.lit("1,2,3"))).alias("value"))
     lines.coalesce(1).write.text(f"{src}/bad")
     files = Mf.list_files(spark, src).withColumn("kind", F.lit("csv"))
@@ -282,6 +342,18 @@ def isolated_error(spark, sf_dir):
     return good.join(F.broadcast(rows)).unionByName(bad)  # one row each
 
 
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE year(o_orderdate) >= 1996")
+def ingest_recent(spark, sf_dir):
+    """An ingest cycle that leaves old files alone: one file a year, as old as its year."""
+    src, root = place(spark, "store"), place(spark, "lake")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    orders.select("o_orderkey", "o_orderpriority", "year").repartition(8, "year").write.partitionBy("year").option("header", "true").csv(f"{src}/orders")
+    year = F.regexp_extract("name", "year=([0-9]+)", 1)
+    files = Mf.list_files(spark, src).withColumn("last_modified", F.concat(year, F.lit("-12-31")).cast("timestamp_ntz"))
+    J.run_ingest(spark, src, root, now="1996-12-31 12:00:00", files=files, max_age=True)
+    return K.read_raw(spark, root, "orders").select("o_orderkey", "o_orderpriority")
+
+
 # -- odd numbers ----------------------------------------------------------------------------
 
 _ODD_SQL = """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN {nan} WHEN event_id % 11 = 0 THEN {inf}
@@ -375,6 +447,22 @@ def iqr_bounds_large(spark, sf_dir):
     return at.select("column", (q1 - 1.5 * (q3 - q1)).alias("lower_bound"), (q3 + 1.5 * (q3 - q1)).alias("upper_bound"))
 
 
+_FENCED = ("l_quantity", "l_partkey", "l_suppkey")
+
+
+@query(
+    union(
+        f"SELECT '{n}' AS \"column\", q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM (SELECT "
+        f"quantile_cont(CAST({n} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({n} AS DOUBLE), 0.75) AS q3 FROM lineitem)"
+        for n in _FENCED
+    )
+)
+def outlier_fences(spark, sf_dir):
+    """The fences that the cleaner itself uses, one row a column."""
+    fences = O.iqr_bounds(table(spark, sf_dir, "lineitem"), _FENCED)
+    return spark.createDataFrame([(n, *b) for n, b in fences.items()], "column string, lower_bound double, upper_bound double")
+
+
 @query(_same("numeric_consistency"))
 def numeric_consistency_large(spark, sf_dir):
     soiled = A.consistency(dirty(spark, sf_dir), _LARGE, columns=("amount", "spiky"))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tableward.functions.columns import col
 from tableward.sources.manifest import children
+from tableward.sources.snapshots import current, publish
 
 
 def dataset_path(root: str, stage: str, dataset: str) -> str:
@@ -81,13 +82,14 @@ def read_raw(spark: SparkSession, root: str, dataset: str, by_file: str = "sourc
 
 
 def write_cleaned(df: DataFrame, root: str, dataset: str) -> str:
+    """The next version of the cleaned table; readers of the one before are not disturbed."""
     path = dataset_path(root, "cleaned", dataset)
-    _storable(df).write.mode("overwrite").parquet(path)
+    publish(_storable(df), path)
     return path
 
 
 def read_cleaned(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    return spark.read.parquet(dataset_path(root, "cleaned", dataset))
+    return spark.read.parquet(current(spark, dataset_path(root, "cleaned", dataset)))
 
 
 def read_cleaned_csv(spark: SparkSession, path: str, stamps: tuple[str, ...] = ("ingested_at", "cleaned_at")) -> DataFrame:
@@ -98,13 +100,13 @@ def read_cleaned_csv(spark: SparkSession, path: str, stamps: tuple[str, ...] = (
 
 def write_summary(summary: DataFrame, root: str, dataset: str) -> str:
     path = dataset_path(root, "summary", dataset)
-    summary.coalesce(1).write.mode("overwrite").json(path)
+    publish(summary.coalesce(1), path, "json")
     return path
 
 
 def read_summary(spark: SparkSession, root: str, dataset: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.json(dataset_path(root, "summary", dataset))
+    return reader.json(current(spark, dataset_path(root, "summary", dataset)))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
