@@ -14,6 +14,7 @@ from tableward.functions.columns import (
 )
 from tableward.functions.scalars import instant, instant_sql, one_decimal
 from tableward.operators import checks as C
+from tableward.operators.sketches import approximate_profile
 from tableward.operators.profile import (
     BASE, LENGTHS, NUMBERS, Measure, distinct_counts, distinct_rows, measure,
 )
@@ -47,9 +48,17 @@ def completeness_score(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFram
     )
 
 
-def uniqueness(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame:
-    """Different values among the non-null values of each data column."""
+def uniqueness(df: DataFrame, cfg: QualityConfig = DEFAULTS, approximate: bool = False) -> DataFrame:
+    """Different values among the non-null values of each data column.
+
+    With ``approximate`` they are estimated by sketches in one scan, without a shuffle of values.
+    """
     names = data_columns(df, cfg)
+    if approximate:
+        return approximate_profile(df, names, cfg).select(
+            "column", "unique_values", F.col("non_null_count").alias("total_values"),
+            F.round(F.coalesce("uniqueness", F.lit(0.0)), 2).alias("uniqueness_percentage"),
+        )
     clean = nan_to_null(df)
     counts = measure(clean, names, BASE, cfg)
     # one row per column on either side

@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +21,7 @@ from tableward.operators.assess import column_profiles
 from tableward.operators.missing import most_common
 from tableward.operators.profile import one_row_to_long
 from tableward.operators.quantiles import quantile_values, quantiles
+from tableward.operators.sketches import K, quantile_at
 from tableward.session import stage
 
 _QUARTILES = (0.25, 0.5, 0.75)
@@ -30,8 +31,14 @@ _OFFSET_IN_MEMORY = 100_000
 
 # -- summaries ---------------------------------------------------------------
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityConfig = DEFAULTS) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per numeric column."""
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityConfig = DEFAULTS, approximate: bool = False
+) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles per numeric column.
+
+    With ``approximate`` the quartiles are values of the columns whose ranks are close,
+    from sketches taken in the pass that counts: one scan in all.
+    """
     names = list(columns) if columns is not None else columns_of_class(df, NUMERIC, among=chart_columns(df, cfg))
     clean = nan_to_null(df.select(*[col(c) for c in names]))
     aggs = [
@@ -39,6 +46,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityCo
         for i, c in enumerate(names)
         for m, fn in (("count", "count"), ("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
     ]
+    if approximate:
+        aggs += [f"kll_sketch_agg_double(CAST({ident(c)} AS DOUBLE), {K}) AS `{i}_quantile_sketch`" for i, c in enumerate(names)]
+        found = one_row_to_long(clean.selectExpr(*aggs), names, ["count", "mean", "std", "min", "max", "quantile_sketch"])
+        quartiles = [quantile_at(p, "count").alias(n) for p, n in zip(_QUARTILES, ("p25", "p50", "p75"))]
+        return found.select("column", "count", "mean", "std", "min", *quartiles, "max")
     moments = one_row_to_long(clean.selectExpr(*aggs), names, ["count", "mean", "std", "min", "max"])
     at = quantiles(clean, names, _QUARTILES, (), cfg).groupBy("column").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in zip(_QUARTILES, ("p25", "p50", "p75"))]
@@ -82,29 +94,35 @@ def category_share(df: DataFrame, column: str, k: int = 10) -> DataFrame:
 
 # -- relations between columns -----------------------------------------------
 
+def _facts(clean: DataFrame, names: Sequence[str]) -> Row:
+    """Rows, and of each column the values there are, their mean and whether they vary."""
+    return clean.selectExpr(
+        "count(*) AS rows",
+        *[
+            f"{e} AS {k}{i}"
+            for i, c in enumerate(map(ident, names))
+            for k, e in (("n", f"count({c})"), ("m", f"avg({c})"), ("v", f"min({c}) < max({c})"))
+        ],
+    ).first()
+
+
 def correlation_pairs(
-    df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityConfig = DEFAULTS
+    df: DataFrame, columns: Sequence[str] | None = None, cfg: QualityConfig = DEFAULTS, facts: Row | None = None
 ) -> DataFrame:
     """Pearson correlation of each pair of numeric columns, over rows holding both.
 
     Columns without gaps are centred on their means first; a pair then costs
     one sum of products, which keeps the generated code small and is accurate.
     Pairs with a gap have means of their own and use the running-moment
-    aggregates.  A constant column has no correlation (NULL).
+    aggregates.  A constant column has no correlation (NULL).  ``facts`` are the
+    columns' counts and means where the caller has them already.
     """
     names = list(columns) if columns is not None else columns_of_class(df, NUMERIC, among=chart_columns(df, cfg))
     clean = nan_to_null(df.select(*[col(c).cast("double").alias(c) for c in names]))
     pairs = list(combinations(names, 2))
     if not pairs:
         raise ValueError("correlation needs two numeric columns")
-    first = clean.selectExpr(
-        "count(*) AS rows",
-        *[
-            f"{e} AS {k}{i}"
-            for i, c in enumerate(map(ident, names))
-            for k, e in (("n", f"count({c})"), ("m", f"avg({c})"), ("v", f"min({c}) < max({c})"))
-        ],
-    ).first()
+    first = facts if facts is not None else _facts(clean, names)
     at = {c: i for i, c in enumerate(names)}
     full = {c for c in names if first["rows"] and first[f"n{at[c]}"] == first["rows"]}
     centred = clean.selectExpr(
@@ -137,14 +155,12 @@ def correlation_matrix(
 ) -> DataFrame:
     """The full symmetric matrix in long form, diagonal included."""
     names = list(columns) if columns is not None else columns_of_class(df, NUMERIC, among=chart_columns(df, cfg))
-    pairs = correlation_pairs(df, names, cfg)
+    clean = nan_to_null(df.select(*[col(c).cast("double").alias(c) for c in names]))
+    facts = _facts(clean, names)
+    pairs = correlation_pairs(df, names, cfg, facts)
     # the diagonal is 1 unless the column is constant or empty
-    spread = nan_to_null(df.select(*[col(c).cast("double").alias(c) for c in names])).agg(
-        *[(F.min(col(c)) < F.max(col(c))).alias(f"{i}_varies") for i, c in enumerate(names)]
-    )
-    diagonal = one_row_to_long(spread, names, ["varies"]).select(
-        F.col("column").alias("var_x"), F.col("column").alias("var_y"), F.when(F.col("varies"), F.lit(1.0)).alias("corr")
-    )
+    ones = [f"named_struct('var_x', {text(c)}, 'var_y', {text(c)}, 'corr', {'1D' if facts[f'v{i}'] else 'CAST(NULL AS DOUBLE)'})" for i, c in enumerate(names)]
+    diagonal = df.sparkSession.range(1).selectExpr(f"inline(array({', '.join(ones)}))")
     both = F.inline(
         F.array(
             F.struct(F.col("var_x"), F.col("var_y"), F.col("corr")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tableward.functions.columns import TEXT, columns_of_class
 from tableward.operators import assess as A
 from tableward.operators import checks as C
+from tableward.operators import sketches as S
 from tableward.operators.profile import distinct_rows
 from tableward.registry.base import (
     DIRTY_KINDS, DIRTY_SQL, LINEITEM_NUMBERS, NOW, dirty, query, rounded, table, union,
@@ -348,3 +349,23 @@ def duplicate_count(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     found = distinct_rows(df, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
     return df.agg(F.count("*").alias("total_rows")).withColumn("distinct_rows", found.scalar())
+
+
+# Columns of few values, of which a sketch counts every one.
+_FEW = ("l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def _few_sql(name: str) -> str:
+    ends = ("NULL", "NULL") if name in ("l_returnflag", "l_linestatus") else (f"min({name})", f"max({name})")
+    return (
+        f"""SELECT '{name}' AS "column", count(*) AS total_count, count({name}) AS non_null_count, count(DISTINCT {name}) AS unique_values,
+        round(100.0 * count(DISTINCT {name}) / count({name}), 6) AS uniqueness, CAST({ends[0]} AS DOUBLE) AS min_value,
+        CAST({ends[1]} AS DOUBLE) AS max_value FROM lineitem"""
+    )
+
+
+@query(union(_few_sql(c) for c in _FEW))
+def sketch_profile(spark, sf_dir):
+    """Sketched in eight parts, then merged; quantiles are held against exact ranks in the tests."""
+    kept = S.column_sketches(table(spark, sf_dir, "lineitem").withColumn("part", F.col("l_suppkey") % 8), _FEW, ["part"])
+    return rounded(S.sketch_profile(kept).drop("p25", "p50", "p75"), 6, "uniqueness")
