@@ -7,9 +7,10 @@ there and can follow the last piece of what is before it, and the count is one m
 there.  One walk over a text gives the count of every prefix, and with it the answer to
 any question on truncation or budgets, without encoding again.
 
-No piece holds a blank after another character, so stretches that begin with blanks are
-independent; each worker keeps the counts of stretches it has met in a bounded cache.
-Characters outside the vocabulary count one token per byte.
+Two characters that stand side by side in no piece are never merged.  Texts fall apart
+between such characters into stretches that don't depend on each other, words mostly; each
+worker keeps the counts of stretches it has met in a bounded cache.  Characters outside the
+vocabulary count one token per byte.
 
 ``counts[i]`` belongs to the first i code points, ``counts[0]`` is 0.  NULL text is empty;
 texts of any length are walked in parts; repeated rows are counted each by itself.  Other
@@ -19,10 +20,8 @@ columns pass through unchanged; ``into`` must not be one of them.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +55,14 @@ class Pieces:
             raise ValueError(f"pieces of kind {sorted(strange)} are not known")
         self.first = BLANK if rule.add_dummy_prefix else ""
         self.scores = {p.piece: p.score for p in told.pieces if p.type == _NORMAL}
-        if inside := [p for p in self.scores if BLANK in p.lstrip(BLANK)]:
-            raise ValueError(f"pieces with a blank after another character: {inside[:3]}")
         self.longest = max(map(len, self.scores), default=1)
-        self.stretch = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+        # characters of pieces are numbered from 1, others are 0; which numbers stand side by side
+        number = {c: i for i, c in enumerate(sorted(set("".join(self.scores))), 1)}
+        self.numbers = np.zeros(max(map(ord, number), default=0) + 2, np.int32)
+        self.numbers[[ord(c) for c in number]] = list(number.values())
+        self.beside = np.zeros((len(number) + 1, len(number) + 1), bool)
+        for a, b in {pair for p in self.scores for pair in zip(p, p[1:])}:
+            self.beside[number[a], number[b]] = True
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
         self.whole = {p for p in self.scores if len(p) == 1 or self.merged(p) == [p]}
@@ -116,18 +119,26 @@ class Pieces:
         before = np.concatenate([[base], base + np.cumsum(counts[ends - 1])[:-1]])
         return counts + np.repeat(before, lengths).astype(np.int32)
 
+    def _starts(self, text: str) -> np.ndarray:
+        """Where the stretches of a text begin, and its length."""
+        found = [np.zeros(1, np.int64)]
+        for at in range(0, len(text), CHARACTERS):
+            code = np.frombuffer(text[at : at + CHARACTERS + 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+            number = self.numbers[np.minimum(code, len(self.numbers) - 1)]
+            found.append(np.flatnonzero(~self.beside[number[:-1], number[1:]]) + (at + 1))
+        return np.concatenate([*found, [len(text)]])
+
     def counts(self, text: str | None) -> np.ndarray:
         """The counts of all prefixes of a text, the empty one first."""
         if not text:
             return np.zeros(1, np.int32)
-        found = self.stretch.finditer(self.first + text.replace(" ", BLANK)) if len(text) > CHARACTERS else None
+        marked = self.first + text.replace(" ", BLANK)
+        starts = self._starts(marked)
         parts, base = [], 0
-        if found is None:
-            parts.append(self._joined(self.stretch.findall(self.first + text.replace(" ", BLANK)), 0))
-        else:
-            while some := [m.group() for m in islice(found, STRETCHES)]:
-                parts.append(self._joined(some, base))
-                base = int(parts[-1][-1])
+        for at in range(0, len(starts) - 1, STRETCHES):
+            some = starts[at : at + STRETCHES + 1].tolist()
+            parts.append(self._joined([marked[i:j] for i, j in zip(some, some[1:])], base))
+            base = int(parts[-1][-1])
         out = np.concatenate(parts)
         out = out[1:] if self.first else out
         return np.concatenate([np.zeros(1, np.int32), out])
