@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableward.config import CSV_NULL_TOKENS, DEFAULTS, TEXT_DELIMITERS, QualityConfig
 from tableward.functions.columns import col
@@ -24,11 +25,13 @@ from tableward.functions.scalars import WHITESPACE, strip
 from tableward.operators.explore import flatten
 from tableward.operators.missing import replace_null_tokens
 from tableward.operators.textclean import infer_reader_types
-from tableward.session import stage
+from tableward.session import place, stage
 from tableward.sources.excel import read_sheets
 
 LATIN = "ISO-8859-1"
 PATH = "_source_path"
+#: Up to so many paths are given to Spark one by one; it lists more of them in a job with a task for each.
+_FEW = 32
 
 
 @dataclass(frozen=True)
@@ -62,6 +65,23 @@ def literal(paths: Sequence[str]) -> list[str]:
     return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
 
 
+def located(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """What the reader is given for ``paths``: a folder of which all entries are among them instead of each of its files."""
+    if len(paths) <= _FEW:
+        return literal(paths)
+    folders: dict[str, set[str]] = {}
+    for p in paths:
+        folders.setdefault(p.rsplit("/", 1)[0], set()).add(p)
+    jvm, conf, found = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for folder, members in folders.items():
+        entries = 0
+        if len(members) > _FEW:
+            shown = jvm.org.apache.hadoop.fs.Path(literal([folder])[0] + "/[^_.]*")
+            entries = len(shown.getFileSystem(conf).globStatus(shown) or ())
+        found += literal([folder] if entries == len(members) else sorted(members))
+    return found
+
+
 def _decoded(line: Column, valid: Column) -> Column:
     return F.when(valid, line).otherwise(F.decode(line.cast("binary"), LATIN))
 
@@ -74,7 +94,7 @@ def decode_with_fallback(content: Column) -> Column:
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw lines with their file and place; the text source leaves the bytes as they are."""
-    return spark.read.text(literal(paths)).select(
+    return spark.read.text(located(spark, paths)).select(
         file_path().alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
@@ -137,7 +157,7 @@ def read_delimited(
         .option("encoding", layout.encoding)
         .option("escape", '"')
         .option("multiLine", str(layout.multi_line).lower())
-        .csv(literal(paths))
+        .csv(located(spark, paths))
         .select(*[col(n) for n in names], file_path().alias(PATH))
     )
 
@@ -153,33 +173,29 @@ def with_reader_types(df: DataFrame, cfg: QualityConfig = DEFAULTS) -> DataFrame
     return infer_reader_types(replace_null_tokens(df, cfg, marks, names), cfg, names, drop_empty=True)
 
 
-def read_json(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+def read_json(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """JSON objects and arrays of objects, one row per object; and the files
-    that are no JSON, as ``path``."""
-    raw = (
-        spark.read.option("multiLine", "true")
-        .option("encoding", encoding)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(literal(paths))
-    )
-    tagged = raw.withColumn(PATH, file_path())
-    if "_corrupt" not in raw.columns:
-        return flatten(tagged), tagged.select(F.col(PATH).alias("path")).limit(0)
-    broken = tagged.where(F.col("_corrupt").isNotNull()).select(F.col(PATH).alias("path")).distinct()
-    good = tagged.join(broken, tagged[PATH] == broken["path"], "left_anti").drop("_corrupt")
-    return flatten(good), broken
+    that are no such JSON, as ``path``.  ``documents`` has one file's ``path, text`` a row.
 
+    The schema is found on the documents as one line each: the multi-line reader
+    would look for it file by file, in time that grows with the square of their number.
+    """
+    spark = documents.sparkSession
+    lines = place(spark, "json-lines")
+    documents.select(F.translate("text", "\r\n", "  ").alias("value")).write.text(lines)
+    schema = spark.read.option("columnNameOfCorruptRecord", "_corrupt").json(lines).drop("_corrupt").schema
+    parsed = documents.select(F.from_json("text", T.ArrayType(schema)).alias("rows"), F.col("path").alias(PATH))
+    broken = parsed.where(F.col("rows").isNull()).select(F.col(PATH).alias("path")).distinct()
+    return flatten(parsed.select(F.explode("rows").alias("row"), PATH).select("row.*", PATH)), broken
 
-def read_json_values(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+
+def read_json_values(documents: DataFrame) -> DataFrame:
     """Bare JSON values and arrays of them: column ``data``, one row per value."""
-    whole = spark.read.text(literal(paths), wholetext=True).select(
-        file_path().alias(PATH), strip(decode_with_fallback(F.col("value").cast("binary"))).alias("t")
-    )
-    wrapped = F.concat(F.lit('{"data":'), F.col("t"), F.lit("}"))
+    wrapped = F.concat(F.lit('{"data":'), F.col("text"), F.lit("}"))
     many = F.from_json(wrapped, "data array<string>")["data"]
     one = F.array(F.from_json(wrapped, "data string")["data"])
-    values = F.when(F.startswith("t", F.lit("[")), many).otherwise(one)
-    return whole.select(F.explode_outer(values).alias("data"), PATH)
+    values = F.when(F.startswith("text", F.lit("[")), many).otherwise(one)
+    return documents.select(F.explode_outer(values).alias("data"), F.col("path").alias(PATH))
 
 
 def _is_one_document(content: Column) -> Column:
@@ -192,28 +208,24 @@ def _is_one_document(content: Column) -> Column:
     return F.try_parse_json(wrapped[0]).isNotNull() & F.try_parse_json(wrapped[1]).isNotNull()
 
 
-def json_shapes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Whether each file holds objects, bare values or no JSON, and its encoding.
+def json_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, encoding, shape, text`` of each file: whether it holds objects, bare values or no JSON.
 
     A file is one document: several in a row are not JSON, and the multi-line
     reader would stop after the first of them without a word.  Only formats
     under the size guard come here, so a file fits a row.
     """
-    whole = spark.read.text(literal(paths), wholetext=True).select(
-        file_path().alias("path"), F.col("value")
-    )
     valid = F.is_valid_utf8("value")
-    content = strip(_decoded(F.col("value"), valid))
-    start = F.substring(F.regexp_replace(content, r"^\[\s*", "["), 1, 2)
-    objects = start.startswith("{") | (start == "[{") | (start == "[]")
-    return whole.select(
-        "path",
+    whole = spark.read.text(located(spark, paths), wholetext=True).select(
+        file_path().alias("path"),
         F.when(valid, F.lit("UTF-8")).otherwise(F.lit(LATIN)).alias("encoding"),
-        F.when(~_is_one_document(content), F.lit("invalid"))
-        .when(objects, F.lit("objects"))
-        .otherwise(F.lit("values"))
-        .alias("shape"),
+        strip(_decoded(F.col("value"), valid)).alias("text"),
     )
+    content = F.col("text")
+    start = F.substring(F.regexp_replace(content, r"^\[\s*", "["), 1, 2)
+    objects = start.startswith("{") | (start == "[{") | (start == "[]")
+    shape = F.when(~_is_one_document(content), F.lit("invalid")).when(objects, F.lit("objects")).otherwise(F.lit("values"))
+    return whole.select("path", "encoding", shape.alias("shape"), "text")
 
 
 def read_plain_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -306,8 +318,12 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
             else:
                 layout = Layout("lines", "", s["encoding"])
             groups.setdefault((home[path], layout), []).append(path)
+    documents = None
     if kinds.get("json"):
-        for r in json_shapes(spark, kinds["json"]).collect():
+        # read once, whatever layouts there are; the file names are on the driver already
+        datasets = F.broadcast(files.select("path", "dataset").dropDuplicates(["path"]))
+        documents = stage(json_documents(spark, kinds["json"]).join(datasets, "path"), "json")
+        for r in documents.select("path", "encoding", "shape").collect():
             if r["shape"] == "invalid":
                 failed[r["path"]] = "invalid JSON"
                 continue
@@ -318,7 +334,7 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
 
     for (dataset, layout), paths in groups.items():
         try:
-            yield _load_group(spark, dataset, layout, paths, cfg)
+            yield _load_group(spark, dataset, layout, paths, documents, cfg)
         except Exception as e:  # one layout's failure leaves the others alone
             yield Loaded(dataset, layout, [], None, {p: f"{type(e).__name__}: {e}" for p in paths})
     sheets: dict[str, list[str]] = {}
@@ -336,7 +352,9 @@ def load(spark: SparkSession, files: DataFrame, cfg: QualityConfig = DEFAULTS) -
             yield Loaded(dataset, Layout("none"), [], None, {p: m for p, m in failed.items() if home[p] == dataset})
 
 
-def _load_group(spark: SparkSession, dataset: str, layout: Layout, paths: list[str], cfg: QualityConfig) -> Loaded:
+def _load_group(
+    spark: SparkSession, dataset: str, layout: Layout, paths: list[str], documents: DataFrame | None, cfg: QualityConfig
+) -> Loaded:
     if layout.kind == "csv":
         rows = with_reader_types(read_delimited(spark, paths, layout, cfg), cfg)
         return Loaded(dataset, layout, paths, rows, trimmed=True)
@@ -344,12 +362,15 @@ def _load_group(spark: SparkSession, dataset: str, layout: Layout, paths: list[s
         return Loaded(dataset, layout, paths, read_xml(spark, paths, cfg.xml_row_tag))
     if layout.kind == "lines":
         return Loaded(dataset, layout, paths, read_plain_text(spark, paths), trimmed=True)
-    if layout.kind == "json_objects":
-        rows, broken = read_json(spark, paths, layout.encoding)
+    shape = layout.kind.removeprefix("json_")
+    mine = documents.where((F.col("dataset") == dataset) & (F.col("encoding") == layout.encoding) & (F.col("shape") == shape))
+    if shape == "objects":
+        rows, broken = read_json(mine)
         bad = {r["path"]: "invalid JSON" for r in broken.collect()}
         return Loaded(dataset, layout, [p for p in paths if p not in bad], rows, bad)
-    rows = read_json_values(spark, paths, layout.encoding)
-    bad = {r[PATH]: "invalid JSON" for r in rows.where(F.col("data").isNull()).select(PATH).distinct().collect()}
+    rows = read_json_values(mine)
+    nulls = rows.where(F.col("data").isNull()).select(PATH).distinct()
+    bad = {r[PATH]: "invalid JSON" for r in nulls.collect()}
     good = [p for p in paths if p not in bad]
-    kept = infer_reader_types(read_json_values(spark, good, layout.encoding), cfg, ["data"]) if good else None
-    return Loaded(dataset, layout, good, kept, bad)
+    kept = infer_reader_types(rows.join(nulls, PATH, "left_anti") if bad else rows, cfg, ["data"]) if good else None
+    return Loaded(dataset, layout, good, None if kept is None else kept.select("data", PATH), bad)

@@ -186,3 +186,17 @@ def test_sinks(spark, tmp_path):
     summary = Mf.catalogue_summary(spark, f"{root}/cleaned").first()
     assert (summary["total_files"], summary["total_rows"]) == (1, 1)
     assert K.export_name(datetime(2024, 1, 2, 3, 4, 5)) == "data_export_20240102_030405.csv"
+
+
+def test_many_json_files_are_read_by_folder_and_once(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        put(tmp_path, f"{i}.json", f'[{{"a": {i},\n "b": "x {i}"}}, {{"a": null}}]' if i % 2 else f'{{"a": {i}}}')
+    files = Mf.list_files(spark, str(tmp_path)).withColumn("dataset", F.lit("d"))
+    paths = [r["path"] for r in files.select("path").collect()]
+    assert R.located(spark, paths) == ["file:" + str(tmp_path)]
+    assert sorted(R.located(spark, paths[1:])) == sorted(paths[1:])
+    read = []
+    monkeypatch.setattr(R, "json_documents", lambda s, p, of=R.json_documents: read.append(len(p)) or of(s, p))
+    (part,) = R.load(spark, files)
+    assert not part.errors and read == [40]
+    assert sorted(r["a"] for r in part.rows.collect() if r["a"] is not None) == list(range(40)) and part.rows.count() == 60
