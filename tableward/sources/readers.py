@@ -111,12 +111,16 @@ def _count(line: Column, mark: str) -> Column:
 
 
 def sniff(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Encoding, first line, and field counts of each text file, in one pass."""
+    """Encoding, first line, and field counts of each text file, in one pass.
+
+    A task holds one entry per file.  Without ``collect_set`` Spark would sort all
+    lines by file to find the first, as it can't keep text in its other hash table.
+    """
     lines = _lines(spark, paths).withColumn("bare", _unquoted(F.col("value")))
     filled = F.btrim("value", F.lit(WHITESPACE)) != ""
     seps = (",", *TEXT_DELIMITERS)
     found = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        (~F.array_contains(F.collect_set(F.is_valid_utf8("value")), F.lit(False))).alias("utf8"),
         F.min_by("value", F.when(filled, F.struct("block", "at"))).alias("first"),
         F.bool_or(_count(F.col("value"), '"') % 2 == 1).alias("open_quotes"),
         *[F.max(_count(F.col("bare"), s)).alias(f"most_{i}") for i, s in enumerate(seps)],

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableward.config import QualityConfig
+from tableward.registry import trips
 from tableward.sources import manifest as Mf
 from tableward.sources import readers as R
 from tableward.sources import sinks as K
+from tests.compare import TESTDATA, compare
 
 
 def put(folder, name, content):
@@ -200,3 +202,20 @@ def test_many_json_files_are_read_by_folder_and_once(spark, tmp_path, monkeypatc
     (part,) = R.load(spark, files)
     assert not part.errors and read == [40]
     assert sorted(r["a"] for r in part.rows.collect() if r["a"] is not None) == list(range(40)) and part.rows.count() == 60
+
+
+def test_sniff_sorts_no_lines(spark, tmp_path, capsys):
+    path = put(tmp_path, "a.csv", "\n a,b \n" + "1,2\n" * 50)
+    R.sniff(spark, [path]).explain()
+    assert "ObjectHashAggregate" in (plan := capsys.readouterr().out) and "Sort" not in plan
+    assert R.sniff(spark, [path]).select("encoding", "header", "csv_fits").first() == ("UTF-8", " a,b ", True)
+
+
+def test_files_of_clashing_headers_follow_the_rows(spark, monkeypatch):
+    run, sql = trips._REGISTRY["csv_header_clash"]
+    sf_dir = f"{TESTDATA}/sf0.001"
+    monkeypatch.setattr(trips, "_LINES", 10)
+    rows, made = spark.read.parquet(f"{sf_dir}/orders.parquet").count(), []
+    monkeypatch.setattr(trips, "place", lambda s, label, of=trips.place: made.append(of(s, label)) or made[-1])
+    problems, _ = compare(spark, sf_dir, run, sql)
+    assert not problems and len(Mf.list_files(spark, made[0]).collect()) == rows // 10 + 4
