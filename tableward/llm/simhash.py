@@ -17,6 +17,7 @@ rows without id belong to groups but never name them, unless all of a group lack
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import accumulate
 
 import numpy as np
@@ -53,9 +54,14 @@ def shingle_hashes(text: str | None, size: int = SHINGLE):
         yield np.fromiter((digest(joined[a + 1 : b], SEED) for a, b in zip(ends[at:to], ends[at + last : to + last])), np.uint64, to - at)
 
 
-def fingerprint_of(text: str | None) -> int:
+def fingerprint_of(text: str | None, size: int = SHINGLE) -> int:
+    return combined(shingle_hashes(text, size))
+
+
+def combined(blocks: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashes, as a signed number."""
     total, n = np.zeros(64, np.int64), 0
-    for hashes in shingle_hashes(text):
+    for hashes in blocks:
         total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         n += len(hashes)
     return int(np.packbits(2 * total > n, bitorder="little").view(np.int64)[0]) if n else 0

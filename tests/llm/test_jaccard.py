@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tableward.llm import jaccard
+from tableward.llm import jaccard, simhash
 from tests.compare import TESTDATA
 from tests.llm.test_operators import SCHEMA, bag, odd_rows
 
@@ -84,3 +85,37 @@ def test_pipeline_stage_drops_every_near_copy(spark):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     want = {rows[g][0] for g in groups([t for _, t in rows])}
     assert bag(corpus_pipeline.near_dedup(spark, docs, SF).select("doc_id").collect()) == bag([(d,) for d in want])
+
+
+def test_parities_differ_no_more_than_the_sets(spark):
+    rng = np.random.default_rng(3)
+    for n, other in [(1, 0), (40, 3), (300, 60), (2000, 900)]:
+        whole = np.unique(rng.integers(0, 2**63, n + other, np.int64)).view(np.uint64)
+        marks = [np.unpackbits(jaccard.parities(s).view(np.uint8)) for s in (whole, whole[other:])]
+        assert len(marks[0]) == jaccard.MARKS and (marks[0] != marks[1]).sum() <= other
+
+
+def test_fingerprints_of_five_words_propose(spark):
+    """Equal fingerprints, and those within two bits, are proposed by covering masks; each text once."""
+    frame = spark.createDataFrame([(5, 0), (3, 0), (9, 3), (2, 0b11111), (4, -1)], "row long, fp long")
+    assert {tuple(sorted(p)) for p in map(tuple, jaccard.linked(frame).collect())} == {(3, 5), (3, 9)}
+    text = " ".join("abcdefghij")
+    (made,) = jaccard.sets(*[spark.createDataFrame([(1, text)], "row long, text string").select(*c) for c in (("row", "text"), ("row",))]).collect()
+    assert made.fp == simhash.fingerprint_of(text, 5) != simhash.fingerprint_of(text)
+
+
+def test_a_large_group_leaves_few_pairs_to_compare(spark, monkeypatch):
+    """120 texts, each with some words of one base text replaced: half of them are less alike to each other than to the base."""
+    rng, texts = random.Random(4), []
+    base = [f"w{i}" for i in range(200)]
+    for _ in range(120):
+        words = list(base)
+        for at in rng.sample(range(200), 3):
+            words[at] = f"x{rng.random()}"
+        texts.append(" ".join(words))
+    counts = []
+    monkeypatch.setattr(jaccard, "confirmed", lambda c, found, of=jaccard.confirmed: counts.append(c.count()) or of(c, found))
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    found = dict(map(tuple, jaccard.classes(frame).collect()))
+    assert [found.get(i, i) for i in range(len(texts))] == groups(texts)
+    assert max(counts) <= 4 * len(texts)
