@@ -105,7 +105,7 @@ def test_fingerprints_of_five_words_propose(spark):
 
 
 def test_a_large_group_leaves_few_pairs_to_compare(spark, monkeypatch):
-    """120 texts, each with some words of one base text replaced: half of them are less alike to each other than to the base."""
+    """120 texts, each with some words of one base text replaced, are less alike to each other than to the base."""
     rng, texts = random.Random(4), []
     base = [f"w{i}" for i in range(200)]
     for _ in range(120):
@@ -113,6 +113,7 @@ def test_a_large_group_leaves_few_pairs_to_compare(spark, monkeypatch):
         for at in rng.sample(range(200), 3):
             words[at] = f"x{rng.random()}"
         texts.append(" ".join(words))
+    texts.append(" ".join(base))  # neither the first nor the smallest
     counts = []
     monkeypatch.setattr(jaccard, "confirmed", lambda c, found, of=jaccard.confirmed: counts.append(c.count()) or of(c, found))
     frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
