@@ -1,11 +1,11 @@
 """Phrase collocations: phrases whose words come together far more often than their parts come apart.
 
 Phrases are counted by length, one pass over the texts each.  A task numbers the words it
-meets and counts runs of them in a HAT-trie per language: the trie branches on the first
-word, and below it all further words, packed into one number, are keys of a hash container.
-A container that grows too large bursts into containers by the next word.  When a task
-holds too many phrases it spills its largest subtrees whole, each as a run of phrases in
-order; Spark deals the runs out by the phrases' prefix and adds up what meets there.
+meets and counts runs of them in a trie per language.  The trie is laid out by depth: the
+nodes of a depth are one sorted array of numbers, each packed from its parent's number and
+a word, so that a phrase takes some 16 bytes.  New phrases wait in a container that bursts
+into the trie when it has grown large.  When a task holds too many phrases it spills its
+largest subtrees whole; Spark deals the phrases out by their prefix and adds up what meets there.
 
 A phrase can only be frequent when both phrases that are a word shorter are.  The frequent
 phrases of one pass become a bitmap of hashes, of bounded size, and the next pass counts
@@ -21,10 +21,12 @@ phrase.  An empty table, or a language without frequent phrases, has no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,38 +41,50 @@ WORDS, LEAST, TOP, SCALE, COVERED = 4, 30, 2000, 2_000_000, 80
 UNKNOWN = "und"
 #: Shares of a language's phrases that are ranked by themselves first.
 SHARES = 64
-#: Phrases of a container until it bursts; phrases a task holds; words it numbers; bytes read at a time.
-BURST, ENTRIES, NUMBERED, BLOCK = 4096, 1_000_000, 1 << 20, 1 << 20
+#: Phrases of a container until it bursts; phrases a task holds; words it numbers, and their bytes; bytes read at a time; rows handed on.
+BURST, ENTRIES, NUMBERED, HELD, BLOCK, ROWS = 1 << 18, 2_000_000, 1 << 20, 1 << 26, 1 << 20, 1 << 14
+#: Texts taken from a batch at a time.
+TEXTS = 1_000
 _END = b"\xff"  # no byte of a text
-_CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _END * 10 + b" ")
+_UPPER = bytes(range(ord("A"), ord("Z") + 1))
+_CUT = bytes.maketrans(_UPPER + b".,;:!?\n\x0b\x0c\r\t", _UPPER.lower() + _END * 10 + b" ")
+_BREAK = re.compile(b"[ \xff]")
 _ID = 21
+_WORD = (1 << _ID) - 1
 
 
-def _tokens(raw: bytes) -> list[bytes]:
-    """The words of a text's bytes, and ``_END`` where a piece ends."""
-    return raw.lower().translate(_CUT).replace(_END, b" \xff ").split()
+def _tokens(raw: bytes) -> pa.DictionaryArray:
+    """The words of a block's bytes, and ``_END`` where a piece ends."""
+    letters = np.frombuffer(raw, np.uint8)
+    letters = letters[(inside := letters != ord(" "))]
+    end = letters == _END[0]
+    start = end.copy()
+    start[1:] |= end[:-1]
+    start |= np.concatenate([[True], ~inside])[:-1][inside]
+    offsets = np.append(np.flatnonzero(start), len(letters)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return words.dictionary_encode()
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[bytes, bool]]:
-    """The texts' bytes some at a time, cut at blanks; and whether a block goes on in the text of the one before."""
+    """The texts' bytes some at a time, ready to be split, cut between words; and whether a block goes on in the text of the one before."""
     held, size = [], 0
     for text in texts:
-        raw = (text or "").encode("utf-8", "surrogatepass")
+        raw = (text or "").encode("utf-8", "surrogatepass").translate(_CUT)
         if len(raw) > BLOCK:
             at = 0
             while at < len(raw):
-                to = raw.find(b" ", at + BLOCK)
-                to = len(raw) if to < 0 else to
+                to = found.start() if (found := _BREAK.search(raw, at + BLOCK)) else len(raw)
                 yield raw[at:to], at > 0
                 at = to
         else:
             held.append(raw)
             size += len(raw)
             if size > BLOCK:
-                yield b"\n".join(held), False
+                yield _END.join(held), False
                 held, size = [], 0
     if held:
-        yield b"\n".join(held), False
+        yield _END.join(held), False
 
 
 def _extended(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -86,67 +100,108 @@ def _seed(lang: str) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 1)], np.uint64)
 
 
+class _Level:
+    """The nodes of one depth, their parents' numbers and a word packed, in order; and each one's number or count."""
+
+    def __init__(self):
+        self.keys, self.values, self.next, self.order = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, None
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where keys are or would be, and which are there."""
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return at, known
+
+    def _insert(self, at: np.ndarray, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys, self.values, self.order = np.insert(self.keys, at, keys), np.insert(self.values, at, values), None
+
+    def count(self, keys: np.ndarray) -> None:
+        keys, counts = np.unique(keys, return_counts=True)
+        at, known = self._find(keys)
+        self.values[at[known]] += counts[known]
+        self._insert(at[~known], keys[~known], counts[~known])
+
+    def number(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of nodes; new nodes get the next ones."""
+        keys, back = np.unique(keys, return_inverse=True)
+        at, known = self._find(keys)
+        out = np.empty(len(keys), np.int64)
+        out[known] = self.values[at[known]]
+        new = len(keys) - int(known.sum())
+        out[~known] = np.arange(self.next, self.next + new)
+        self.next += new
+        self._insert(at[~known], keys[~known], out[~known])
+        return out[back]
+
+    def keys_of(self, numbers: np.ndarray) -> np.ndarray:
+        if self.order is None:
+            self.order = np.argsort(self.values)
+        return self.keys[self.order[np.searchsorted(self.values, numbers, sorter=self.order)]]
+
+    def keep(self, left: np.ndarray) -> None:
+        self.keys, self.values, self.order = self.keys[left], self.values[left], None
+
+
 class Trie:
-    """Counts of phrases of ``words`` words as a trie on the first, and containers of the packed rest below."""
+    """Counts of phrases of ``words`` words: a level for each depth from the second, the last with the counts."""
 
     def __init__(self, words: int):
-        self.words, self.root, self.sizes, self.entries = words, {}, {}, 0
-
-    def add(self, phrases: np.ndarray) -> None:
-        """Counts the rows of a matrix of word numbers."""
-        first, rest = phrases[:, 0].astype(np.int64), np.zeros(len(phrases), np.int64)
-        for column in phrases.T[1:]:
-            rest = (rest << _ID) | column
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
-        starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
-        counts = np.diff(np.append(starts, len(first))).tolist()
-        first, rest = first[starts], rest[starts].tolist()
-        edges = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1], [True]])).tolist()
-        words = first[edges[:-1]].tolist()
-        for word, begin, end in zip(words, edges, edges[1:]):
-            node = self.root.setdefault(word, {})
-            grown = self._into(node, rest[begin:end], counts[begin:end])
-            if grown:
-                self.entries += grown
-                self.sizes[word] = self.sizes.get(word, 0) + grown
-                if len(node) > BURST and self.words > 2 and -1 not in node:
-                    self.root[word] = self._burst(node)
-
-    def _into(self, node: dict, keys: list[int], counts: list[int]) -> int:
-        """Counts keys in a container, or below it if it has burst; returns how many are new."""
-        if -1 not in node:
-            before = len(node)
-            for key, count in zip(keys, counts):
-                node[key] = node.get(key, 0) + count
-            return len(node) - before
-        shift, grown = (self.words - 2) * _ID, 0
-        mask = (1 << shift) - 1
-        for key, count in zip(keys, counts):
-            below = node.setdefault(key >> shift, {})
-            key &= mask
-            grown += key not in below
-            below[key] = below.get(key, 0) + count
-        return grown
-
-    def _burst(self, node: dict) -> dict:
-        shift, out = (self.words - 2) * _ID, {-1: {}}
-        for key, count in node.items():
-            out.setdefault(key >> shift, {})[key & ((1 << shift) - 1)] = count
-        return out
-
-    def spill(self, down_to: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """Takes out the largest subtrees until ``down_to`` phrases are left: the first word, and the rest with counts."""
-        shift = (self.words - 2) * _ID
-        for word in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
-            if self.entries <= down_to:
-                break
-            node = self.root.pop(word)
-            self.entries -= self.sizes.pop(word)
-            if -1 in node:
-                yield word, [((second << shift) | key, c) for second, below in node.items() if second >= 0 for key, c in below.items()]
-            else:
-                yield word, list(node.items())
+        self.words, self.levels = words, [_Level() for _ in range(max(words - 1, 1))]
+        self.waiting, self.container = 0, []
+
+    @property
+    def entries(self) -> int:
+        return len(self.levels[-1].keys) + self.waiting
+
+    def add(self, phrases: list[np.ndarray]) -> None:
+        """Counts phrases: the numbers of their first words, of their second words and so on."""
+        self.container.append(phrases)
+        self.waiting += len(phrases[0])
+        if self.waiting > BURST:
+            self.burst()
+
+    def burst(self) -> None:
+        """Counts what waits."""
+        if self.container:
+            first, *rest = (np.concatenate(c) for c in zip(*self.container))
+            self.waiting, self.container = 0, []
+            path = first.astype(np.int64)
+            for level, column in zip(self.levels, rest):
+                path = (path << _ID) | column
+                if level is not self.levels[-1]:
+                    path = level.number(path)
+            self.levels[-1].count(path)
+
+    def _columns(self, depth: int, keys: np.ndarray) -> list[np.ndarray]:
+        """The words on the way to nodes of a level, first words first."""
+        if self.words == 1:
+            return [keys]
+        out = []
+        for level in reversed(self.levels[:depth]):
+            out.append(keys & _WORD)
+            keys = level.keys_of(keys >> _ID)
+        return [keys >> _ID, keys & _WORD, *reversed(out)]
+
+    def spill(self, down_to: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        """Takes out the largest subtrees until ``down_to`` phrases are left: their words, as for ``add``, and their counts."""
+        self.burst()
+        if self.entries <= down_to:
+            return
+        first = [self._columns(depth, level.keys)[0] for depth, level in enumerate(self.levels)]
+        sizes = np.bincount(first[-1])
+        largest = np.argsort(-sizes, kind="stable")
+        taken = np.searchsorted(np.cumsum(sizes[largest]), self.entries - down_to) + 1
+        gone = np.zeros(len(sizes), bool)
+        gone[largest[:taken]] = True
+        left = [~gone[f] for f in first]
+        leaves = self.levels[-1]
+        out = np.flatnonzero(~left[-1])
+        for at in range(0, len(out), ROWS):
+            part = out[at : at + ROWS]
+            yield self._columns(len(self.levels) - 1, leaves.keys[part]), leaves.values[part]
+        for level, these in zip(self.levels, left):
+            level.keep(these)
 
 
 class _Words(dict):
@@ -154,11 +209,12 @@ class _Words(dict):
 
     def __init__(self):
         super().__init__({_END: 0})
-        self.listed = [_END]
+        self.listed, self.bytes = [_END], 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.listed)
         self.listed.append(word)
+        self.bytes += len(word)
         return n
 
 
@@ -176,13 +232,14 @@ class Counter:
             self.hashes = np.concatenate([self.hashes, np.fromiter(map(_word_hash, new), np.uint64, len(new))])
         return self.hashes
 
-    def phrases(self, ids: np.ndarray, lang: str) -> np.ndarray:
-        """The phrases within pieces that may be frequent, a row each."""
+    def phrases(self, ids: np.ndarray, lang: str) -> list[np.ndarray]:
+        """The phrases within pieces that may be frequent: their first words, their second words and so on."""
         n, words = len(ids) - self.words + 1, self.words
         if n <= 0:
-            return np.zeros((0, words), np.int32)
-        ended = np.concatenate([[0], np.cumsum(ids == 0)])
-        good = ended[words:] == ended[:n]
+            return [ids[:0]] * words
+        good = ids[:n] > 0
+        for k in range(1, words):
+            good &= ids[k : n + k] > 0
         if self.known is not None:  # both phrases that are a word shorter must be known
             hashes = self._hashed()[ids]
             shorter = _extended(_seed(lang), hashes)
@@ -191,7 +248,7 @@ class Counter:
             held = self.known.holds(shorter)
             good &= held[:n] & held[1 : n + 1]
         at = np.flatnonzero(good)
-        return ids[at[:, None] + np.arange(words)]
+        return [ids[at + k] for k in range(words)]
 
     def count(self, lang: str, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
         trie = self.tries.get(lang)
@@ -199,44 +256,42 @@ class Counter:
             trie = self.tries[lang] = Trie(self.words)
         last = np.zeros(0, np.int32)
         for raw, goes_on in _blocks(texts):
-            ids = list(map(self.numbers.__getitem__, _tokens(raw)))
-            ids = np.fromiter(ids, np.int32, len(ids))
+            words = _tokens(raw)
+            numbers = map(self.numbers.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist())
+            ids = np.fromiter(numbers, np.int32, len(words.dictionary))[words.indices.to_numpy()]
             if goes_on:
                 ids = np.concatenate([last, ids])
-            if len(found := self.phrases(ids, lang)):
-                trie.add(found)
+            trie.add(self.phrases(ids, lang))
             last = ids[len(ids) - self.words + 1 :] if self.words > 1 else ids[:0]
-            if len(self.numbers.listed) > NUMBERED:
+            if len(self.numbers.listed) > NUMBERED or self.numbers.bytes > HELD:
                 yield from self.emptied()
                 trie = self.tries[lang] = Trie(self.words)
                 last = np.array([self.numbers[w] for w in self.old(last)], np.int32)
-            elif sum(t.entries for t in self.tries.values()) > ENTRIES:
+            elif self.entries() > ENTRIES:
                 yield from self.spilled(ENTRIES // 2)
 
+    def entries(self) -> int:
+        """The phrases held, once what waits has been counted if they seem too many."""
+        if sum(t.entries for t in self.tries.values()) > ENTRIES:
+            for trie in self.tries.values():
+                trie.burst()
+        return sum(t.entries for t in self.tries.values())
+
     def old(self, ids: np.ndarray) -> list[bytes]:
         """The words that numbers had before all was emptied."""
         return [self.before[i] for i in ids.tolist()]
 
     def spilled(self, down_to: int) -> Iterator[pa.RecordBatch]:
-        """Sorted runs of the largest subtrees until ``down_to`` phrases are left."""
-        listed, held, rows = self.numbers.listed, [], 0
-        shifts = [_ID * k for k in reversed(range(self.words - 1))]
-        mask = (1 << _ID) - 1
-        left = sum(t.entries for t in self.tries.values())
+        """The phrases of the largest subtrees until ``down_to`` are left."""
+        listed = pa.array(self.numbers.listed, pa.binary())
+        left = self.entries()
         for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].entries):
-            goal = max(trie.entries - max(left - down_to, 0), 0)
-            left -= trie.entries
-            for first, found in trie.spill(goal):
-                head = listed[first]
-                run = sorted((b" ".join([head, *[listed[(key >> s) & mask] for s in shifts]]), count) for key, count in found)
-                held.append((lang, run))
-                rows += len(run)
-                if rows > 1 << 16:
-                    yield _batch(held)
-                    held, rows = [], 0
-            left += trie.entries
-        if held:
-            yield _batch(held)
+            trie.burst()
+            left -= (held := trie.entries)
+            for columns, counts in trie.spill(max(down_to - left, 0)):
+                held -= len(counts)
+                yield _batch(lang, [listed.take(pa.array(c)) for c in columns], counts)
+            left += held
 
     def emptied(self) -> Iterator[pa.RecordBatch]:
         yield from self.spilled(0)
@@ -244,10 +299,10 @@ class Counter:
         self.numbers, self.tries, self.hashes = _Words(), {}, np.zeros(1, np.uint64)
 
 
-def _batch(runs: list[tuple[str, list[tuple[bytes, int]]]]) -> pa.RecordBatch:
-    langs = pa.array([lang for lang, run in runs for _ in run], pa.string())
-    phrases = pa.array([phrase for _, run in runs for phrase, _ in run], pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([langs, phrases, pa.array([c for _, run in runs for _, c in run], pa.int64())], names=["lang", "phrase", "f"])
+def _batch(lang: str, words: list[pa.Array], counts: np.ndarray) -> pa.RecordBatch:
+    phrases = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())).cast(pa.string())
+    langs = pa.repeat(pa.scalar(lang, pa.string()), len(counts))
+    return pa.RecordBatch.from_arrays([langs, phrases, pa.array(counts)], names=["lang", "phrase", "f"])
 
 
 def counted(docs: DataFrame, words: int, known: Bitmap | None = None) -> DataFrame:
@@ -257,11 +312,13 @@ def counted(docs: DataFrame, words: int, known: Bitmap | None = None) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Counter(words, told.value)
         for batch in batches:
-            by_lang: dict[str, list] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                yield from own.count(lang, texts)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                by_lang: dict[str, list] = {}
+                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, texts in by_lang.items():
+                    yield from own.count(lang, texts)
         yield from own.emptied()
 
     runs = docs.mapInArrow(run, "lang string, phrase string, f long")
@@ -271,17 +328,18 @@ def counted(docs: DataFrame, words: int, known: Bitmap | None = None) -> DataFra
 
 
 def bitmap(frequent: DataFrame) -> Bitmap:
-    """The hashes of ``lang, phrase``."""
+    """The hashes of ``lang, phrase``, all of as many words."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                value = _seed(lang)
-                for word in phrase.encode("utf-8", "surrogatepass").split(b" "):
-                    value = _extended(value, np.uint64(_word_hash(word)))
-                found.append(value[0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], names=["hash"])
+            if batch.num_rows:
+                langs = batch.column(0).dictionary_encode()
+                value = np.concatenate([_seed(lang) for lang in langs.dictionary.to_pylist()])[langs.indices.to_numpy()]
+                words = [w for phrase in batch.column(1).cast(pa.binary()).to_pylist() for w in phrase.split(b" ")]
+                hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+                for word in hashes.reshape(batch.num_rows, -1).T:  # all phrases are of one length
+                    value = _extended(value, word)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], names=["hash"])
 
     return bitmaps.collect(frequent.select("lang", "phrase").mapInArrow(hashed, "hash long"), frequent.count())
 

@@ -218,3 +218,25 @@ def test_tries_burst_and_spill(monkeypatch):
                 key = lang, " ".join(split[i : i + words])
                 want[key] = want.get(key, 0) + 1
         assert found == want
+
+
+def test_tries_take_few_bytes_a_phrase():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 1000, 3000)) for _ in range(100)]
+    counter = phrases.Counter(3, None)
+    list(counter.count("en", ["w" + " w".join(map(str, range(1000)))]))
+    tracemalloc.start()
+    list(counter.count("en", texts))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert counter.entries() > 290_000 and held / counter.entries() < 90
+
+
+def test_texts_without_blanks_are_read_in_parts(monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK", 100)
+    text = "\n".join(f"A{i}\tB{i}" for i in range(500))
+    blocks = list(phrases._blocks([text, None, "x y"]))
+    assert max(len(raw) for raw, _ in blocks) < 120 and [goes_on for _, goes_on in blocks[:2]] == [False, True]
+    assert b"".join(raw for raw, _ in blocks).replace(b"\xff", b" ").split() == (text + " x y").lower().encode().split()
