@@ -22,43 +22,68 @@ Rows with the same id are ordered by start only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableward.llm import rolling
-from tableward.session import stage, sweep
+from tableward.session import owner as owned
+from tableward.session import release, stage, sweep
 
 #: Bytes of a string that counts, bytes of an anchor, windows among which an anchor is the least.
 LENGTH, SEED = 100, 32
 WINDOWS = LENGTH - SEED + 1
 #: Different segments of an anchor that are sorted in one task, and segments sorted at a time.
 CROWD, BATCH = 1_000, 500
+#: Bytes of short texts that are read together.
+JOINED = 1 << 15
 LAST = 2**63 - 1
 _PLACE = "id long, mark long, start long, count long"
 # For a second, independent hash.
 _OTHER = rolling.mix(rolling.BYTES)
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, rolling.Prefix | None]:
-    """Positions and hashes of a text's anchors, and the sums to hash its stretches with."""
-    if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), None
+def _raw(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def _joined(texts: list[str | None]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Texts some at a time: the first one's position, their bytes one after the other, and where each begins and the last ends."""
+    first, held, size = 0, [], 0
+    for at, text in enumerate(texts, 1):
+        held.append((text or "").encode("utf-8", "surrogatepass"))
+        size += len(held[-1])
+        if size > JOINED or at == len(texts):
+            yield first, b"".join(held), np.cumsum([0, *map(len, held)])
+            first, held, size = at, [], 0
+
+
+def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, rolling.Prefix | None]:
+    """Positions, texts and hashes of the anchors of joined texts, and the sums to hash their stretches with."""
+    size = np.diff(bounds)
+    if not (size >= LENGTH).any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), None
     sums = rolling.Prefix(rolling.BYTES[raw])
     hashes = sums.windows(SEED)
-    least = rolling.sliding_minimum(hashes, WINDOWS)
+    most = np.uint64(2**64 - 1)
+    highest = ~rolling.sliding_minimum(hashes, WINDOWS)
+    # Windows of texts that are long enough; no stretch reaches over the end of a text.
+    change = np.zeros(len(raw) + 1, np.int8)
+    long = size >= LENGTH
+    change[bounds[:-1][long]] += 1
+    change[bounds[1:][long] - SEED + 1] -= 1
+    held = np.cumsum(change, dtype=np.int8)[: len(hashes)] > 0
+    for end in bounds[1:-1]:
+        highest[max(end - LENGTH + 1, 0) : end] = most
     # A window is an anchor if it is the least of some stretch: the largest of these minima is its own hash.
-    edge = np.full(WINDOWS - 1, np.uint64(2**64 - 1))
-    around = ~rolling.sliding_minimum(np.concatenate([edge, ~least, edge]), WINDOWS)
-    at = np.flatnonzero(around == hashes)
-    return at, hashes[at].view(np.int64), sums
-
-
-def _raw(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    edge = np.full(WINDOWS - 1, most)
+    around = ~rolling.sliding_minimum(np.concatenate([edge, highest, edge]), WINDOWS)
+    at = np.flatnonzero((around == hashes) & held)
+    return at, np.searchsorted(bounds, at, "right") - 1, hashes[at].view(np.int64), sums
 
 
 def listed_anchors(docs: DataFrame) -> DataFrame:
@@ -66,10 +91,15 @@ def listed_anchors(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, mark, text in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "text"))):
-                found, n = np.unique(anchors(_raw(text))[1], return_counts=True)
-                if len(found):
-                    columns = found, np.minimum(n, 2).astype(np.int32), np.full(len(found), own), np.full(len(found), mark)
+            ids, marks = (batch.column(c).to_numpy() for c in ("id", "mark"))
+            for first, raw, bounds in _joined(batch.column("text").to_pylist()):
+                _, owner, hashes, _ = anchors(np.frombuffer(raw, np.uint8), bounds)
+                if len(owner):
+                    order = np.lexsort((hashes, owner))
+                    owner, hashes = owner[order] + first, hashes[order]
+                    head = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(hashes) != 0)]))
+                    n = np.diff(np.append(head, len(order)))
+                    columns = hashes[head], np.minimum(n, 2).astype(np.int32), ids[owner[head]], marks[owner[head]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "times", "id", "mark"])
 
     return docs.mapInArrow(run, "anchor long, times int, id long, mark long")
@@ -98,28 +128,30 @@ def segments(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, mark, text, shared in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "text")), batch.column("shared")):
-                raw = _raw(text)
-                at, hashes, sums = anchors(raw)
-                hit = np.isin(hashes, shared.values.to_numpy())
-                at, hashes = at[hit], hashes[hit]
+            ids, marks = (batch.column(c).to_numpy() for c in ("id", "mark"))
+            for first, joined, bounds in _joined(batch.column("text").to_pylist()):
+                raw = np.frombuffer(joined, np.uint8)
+                at, owner, hashes, sums = anchors(raw, bounds)
+                # an anchor that is shared is so in every text
+                hit = np.isin(hashes, batch.column("shared").slice(first, len(bounds) - 1).flatten().to_numpy())
+                at, owner, hashes = at[hit], owner[hit], hashes[hit]
                 if not len(at):
                     continue
-                start, end = np.maximum(at - (LENGTH - SEED), 0), np.minimum(at + LENGTH, len(raw))
+                start, end = np.maximum(at - (LENGTH - SEED), bounds[owner]), np.minimum(at + LENGTH, bounds[owner + 1])
                 digest = sums.hashes(start, end) + (at - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 digest = (digest + (end - start).astype(np.uint64)).view(np.int64)
-                order = np.lexsort((at, digest, hashes))
-                again = np.concatenate([[False], (np.diff(hashes[order]) == 0) & (np.diff(digest[order]) == 0)])
+                order = np.lexsort((at, digest, hashes, owner))
+                same = (np.diff(owner[order]) == 0) & (np.diff(hashes[order]) == 0) & (np.diff(digest[order]) == 0)
+                again = np.concatenate([[False], same])
                 late, order = order[again], np.sort(order[~again])
                 ranges, lengths = stretches(start[late], end[late] - start[late] - LENGTH + 1, len(raw))
-                rest = np.zeros(len(ranges), np.int64)
-                total = len(order) + len(ranges)
+                rest, own = np.zeros(len(ranges), np.int64), np.concatenate([owner[order], np.searchsorted(bounds, ranges, "right") - 1])
                 columns = (
-                    np.concatenate([hashes[order], rest]), np.concatenate([digest[order], rest]), np.full(total, own), np.full(total, mark),
-                    np.concatenate([at[order], ranges]), np.concatenate([at[order] - start[order], rest]).astype(np.int32),
+                    np.concatenate([hashes[order], rest]), np.concatenate([digest[order], rest]), ids[first + own], marks[first + own],
+                    np.concatenate([at[order], ranges]) - bounds[own], np.concatenate([at[order] - start[order], rest]).astype(np.int32),
                     np.concatenate([end[order] - start[order], lengths]).astype(np.int32),
                 )
-                cut = [raw[s:e].tobytes() for s, e in zip(start[order], end[order])] + [None] * len(ranges)
+                cut = [joined[s:e] for s, e in zip(start[order].tolist(), end[order].tolist())] + [None] * len(ranges)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(cut, pa.binary())], names)
 
     return docs.mapInArrow(run, _SEGMENT)
@@ -156,26 +188,32 @@ def previous_factors(suffixes: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def _starts(rows: list[dict]) -> tuple[np.ndarray, ...]:
-    """All strings of the segments: their bytes, whose they are, and where they start."""
+    """All strings of the segments: the segments' bytes and where in them the strings are, whose they are, and where they start."""
     count = np.array([r["size"] - LENGTH + 1 for r in rows])
     owner = np.repeat(np.arange(len(rows)), count)
     joined = np.frombuffer(b"".join(r["bytes"] for r in rows), np.uint8)
     offset = np.concatenate([[0], np.cumsum([r["size"] for r in rows])])[:-1]
     within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    strings = np.lib.stride_tricks.sliding_window_view(joined, LENGTH)[offset[owner] + within]
     first = np.array([r["at"] - r["before"] for r in rows])
-    return strings, owner, first[owner] + within
+    return joined, offset[owner] + within, owner, first[owner] + within
 
 
 def repeated_starts(rows: list[dict]) -> pa.RecordBatch | None:
     """The starts in these segments whose previous factor is long enough, as stretches of starts."""
-    strings, owner, start = _starts(rows)
+    joined, where, owner, start = _starts(rows)
+    # a string whose hash is alone here has no factor of its whole length
+    _, which, times = np.unique(rolling.Prefix(rolling.BYTES[joined]).windows(LENGTH)[where], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(times[which] > 1)
+    if not len(several):
+        return None
     ids, marks = _whose(rows, owner)
-    order = np.lexsort((start, ids))
-    step = np.concatenate([[False], (ids[order][1:] != ids[order][:-1]) | (start[order][1:] != start[order][:-1])])
+    order = np.lexsort((start[several], ids[several]))
+    own, begin = ids[several][order], start[several][order]
+    step = np.concatenate([[False], (own[1:] != own[:-1]) | (begin[1:] != begin[:-1])])
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(step)
-    return _ranges(np.flatnonzero(previous_factors(strings, place) >= LENGTH), owner, ids, marks, start)
+    strings = np.lib.stride_tricks.sliding_window_view(joined, LENGTH)[where[several]]
+    return _ranges(several[previous_factors(strings, place) >= LENGTH], owner, ids, marks, start)
 
 
 def _whose(rows: list[dict], owner: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -222,10 +260,9 @@ def hashed_repeats(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH).to_pylist()
-                _, owner, start = _starts(part)
+                joined, where, owner, start = _starts(part)
                 ids, marks = _whose(part, owner)
-                raw = [np.frombuffer(r["bytes"], np.uint8) for r in part]
-                one, two = (np.concatenate([rolling.Prefix(table[r]).windows(LENGTH) for r in raw]).view(np.int64) for table in (rolling.BYTES, _OTHER))
+                one, two = (rolling.Prefix(table[joined]).windows(LENGTH)[where].view(np.int64) for table in (rolling.BYTES, _OTHER))
                 order = np.lexsort((start, ids, two, one))
                 again = np.concatenate([[False], (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])])
                 first = order[~again]
@@ -239,8 +276,9 @@ def hashed_repeats(rows: DataFrame) -> DataFrame:
 
     told = stage(rows.mapInArrow(run, "one long, two long, " + _PLACE), "strings")
     strings = told.where("count = 0").drop("count")
-    first = strings.groupBy("one", "two").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = strings.join(first, ["one", "two"]).where(F.struct("id", "start") > F.col("first"))
+    # a task hands on a string once for each of its parts, so that few rows meet
+    first = F.min(F.struct("id", "start")).over(Window.partitionBy("one", "two"))
+    later = strings.withColumn("first", first).where(F.struct("id", "start") > F.col("first"))
     return told.where("count > 0").select("id", "mark", "start", "count").unionByName(
         later.select("id", "mark", "start", F.lit(1).cast("long").alias("count"))
     )
@@ -254,39 +292,48 @@ def later_copies(docs: DataFrame) -> DataFrame:
     return told.join(first.drop("last"), ["mark", "also", "bytes"]).where("id > first").select("id", "mark", "bytes").distinct()
 
 
-def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``id, mark, start, count``: where repeated strings start in the documents of ``id, mark, text``."""
-    spark = docs.sparkSession
-    whole = stage(later_copies(docs), "copies")
+def shared_anchors(docs: DataFrame, whole: DataFrame) -> DataFrame:
+    """``id, mark, shared``: the anchors of each document that occur elsewhere too; not of those in ``whole``."""
     sampled = stage(listed_anchors(docs), "anchors")
     # Copies of one text count once here.
     spread = sampled.groupBy("anchor").agg(F.min("mark").alias("one"), F.max("mark").alias("other"), F.max("times").alias("times"))
     shared = spread.where("one <> other OR times > 1").select("anchor")
     wanted = sampled.join(shared, "anchor").groupBy("id", "mark").agg(F.collect_list("anchor").alias("shared"))
-    wanted = stage(wanted.join(whole, ["id", "mark"], "left_anti"), "shared")
-    sweep(spark)
-    cut = stage(segments(docs.join(wanted, ["id", "mark"])), "segments")
-    sweep(spark)
-    given, inside = cut.where("bytes IS NOT NULL"), cut.where("bytes IS NULL")
-    firsts = given.groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
-    firsts = stage(firsts.select("anchor", "digest", "first.*"), "firsts")
+    return stage(wanted.join(whole, ["id", "mark"], "left_anti"), "shared")
+
+
+def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``id, mark, start, count``: where repeated strings start in the documents of ``id, mark, text``.
+
+    Tables of a phase are deleted as soon as the next one is written.
+    """
+    spark = docs.sparkSession
+    whole = stage(later_copies(docs), "copies")
+    with owned(f"anchors-{uuid.uuid4().hex}") as listed:
+        wanted = shared_anchors(docs, whole)
     sweep(spark)
+    with owned(f"segments-{uuid.uuid4().hex}") as cuts:
+        cut = stage(segments(docs.join(wanted, ["id", "mark"])), "segments")
+        release(spark, listed)
+        sweep(spark)
+        given, inside = cut.where("bytes IS NOT NULL"), cut.where("bytes IS NULL")
+        firsts = given.groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
+        firsts = stage(firsts.select("anchor", "digest", "first.*"), "firsts")
+        sweep(spark)
     earlier = firsts.select("anchor", "digest", F.struct("id", "at").alias("first"))
     later = given.drop("bytes").join(earlier, ["anchor", "digest"]).where(F.struct("id", "at") > F.col("first"))
+    later = later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count"))
+    inside = inside.select("id", "mark", F.col("at").alias("start"), F.col("size").cast("long").alias("count"))
+    known = stage(later.unionByName(inside), "known")
+    sweep(spark)
     several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     compared = given.join(firsts.join(several, "anchor"), ["anchor", "digest", "id", "mark", "at"])
     compared = stage(compared, "compared")
+    release(spark, cuts)
     sweep(spark)
     few, many = compared.where(F.col("n") <= crowd), compared.where(F.col("n") > crowd)
-    plain = (
-        later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count")),
-        inside.select("id", "mark", F.col("at").alias("start"), F.col("size").cast("long").alias("count")),
-        whole.select("id", "mark", F.lit(0).cast("long").alias("start"), (F.col("bytes") - LENGTH + 1).cast("long").alias("count")),
-    )
-    found = sorted_repeats(few).unionByName(hashed_repeats(many))
-    for more in plain:
-        found = found.unionByName(more)
-    return found
+    copies = whole.select("id", "mark", F.lit(0).cast("long").alias("start"), (F.col("bytes") - LENGTH + 1).cast("long").alias("count"))
+    return sorted_repeats(few).unionByName(hashed_repeats(many)).unionByName(known).unionByName(copies)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -385,6 +385,32 @@ def test_strings_by_either_way(spark, crowd):
     assert covered == want
 
 
+def test_strings_free_each_phase(spark):
+    import os
+
+    from tableward import session
+
+    session.release(spark)
+    passage = "abcdefghij klmnopqrst" * 20
+    slim = spark.createDataFrame([(i, i, "x" * i + passage + "y" * (3 * i)) for i in range(4)], "id long, mark long, text string")
+    assert suffixes.repeats(slim).count() > 0
+    left = {name.rsplit("-", 1)[0] for name in os.listdir(os.path.join(session.checkpoint_root(spark), "tableward"))}
+    assert "compared" in left and not left & {"anchors", "shared", "segments", "firsts"}
+
+
+def test_anchors_of_joined_texts():
+    import numpy as np
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc d") for _ in range(n)).encode() for n in (0, 300, 99, 100, 0, 5, 1000, 101, 0)]
+    bounds = np.cumsum([0, *map(len, texts)])
+    at, owner, hashes, _ = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    alone = [suffixes.anchors(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]
+    got = list(zip(owner.tolist(), (at - bounds[owner]).tolist(), hashes.tolist()))
+    assert got == [(i, p, h) for i, (ps, _, hs, _) in enumerate(alone) for p, h in zip(ps.tolist(), hs.tolist())]
+    assert {i for i, _, _ in got} == {1, 3, 6, 7}
+
+
 def test_previous_factors_by_hand():
     import numpy as np
 
