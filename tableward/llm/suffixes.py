@@ -13,8 +13,10 @@ previous and next smaller positions in suffix order follows the longest factor t
 earlier (``previous_factors``), and starts where it reaches ``LENGTH`` are repeats.
 
 Segments are dealt by anchor; copies have been merged before that.  An anchor with more than
-``CROWD`` different segments is not sorted in one task: its strings are grouped by hash
-instead, over all tasks.  Nothing is capped.
+``CROWD`` different segments is not sorted in one task: its segments are split and dealt again by
+the anchor with the bytes left of it, and with those right of it, one of which every string holds
+(``closer``).  Where even that leaves more than ``CROWD``, strings are grouped by hash instead, over
+all tasks.  Nothing is capped.
 
 Texts are UTF-8 bytes, NULL is empty.  Rows without id share one place after all others.
 Rows with the same id are ordered by start only.
@@ -37,6 +39,8 @@ from tableward.session import release, stage, sweep
 #: Bytes of a string that counts, bytes of an anchor, windows among which an anchor is the least.
 LENGTH, SEED = 100, 32
 WINDOWS = LENGTH - SEED + 1
+#: Bytes beside an anchor, on one side or the other, that every string around it holds.
+REACH = (LENGTH - SEED) // 2
 #: Different segments of an anchor that are sorted in one task, and segments sorted at a time.
 CROWD, BATCH = 1_000, 500
 #: Bytes of short texts that are read together.
@@ -249,6 +253,35 @@ def sorted_repeats(rows: DataFrame) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _PLACE)
 
 
+def closer(rows: DataFrame) -> DataFrame:
+    """Segments split in two and dealt by longer anchors: strings with ``REACH`` bytes left of the anchor, and the others, which have as many on the right."""
+    names = [c.split()[0] for c in _SEGMENT.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, BATCH):
+                part = batch.slice(first, BATCH)
+                ids, marks, at, before, size = (part.column(c).to_numpy().astype(np.int64) for c in ("id", "mark", "at", "before", "size"))
+                joined, offset = b"".join(part.column("bytes").to_pylist()), np.cumsum(size) - size
+                sums = rolling.Prefix(rolling.BYTES[np.frombuffer(joined, np.uint8)])
+                left = np.zeros(len(size), np.int64), np.minimum(before - REACH, size - LENGTH) + LENGTH, before - REACH, before + SEED
+                right = np.maximum(before - REACH + 1, 0), size, before, before + SEED + REACH
+                for side, (begin, end, low, high) in enumerate((left, right)):
+                    good = np.flatnonzero((end - begin >= LENGTH) & (low >= 0))
+                    begin, end, low, high, base, own = (x[good] for x in (begin, end, low, high, offset, before))
+                    key = sums.hashes(base + low, base + high) + np.uint64(side)
+                    digest = sums.hashes(base + begin, base + end) + (own - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    digest += (end - begin).astype(np.uint64)
+                    columns = (
+                        key.view(np.int64), digest.view(np.int64), ids[good], marks[good], at[good],
+                        (own - begin).astype(np.int32), (end - begin).astype(np.int32),
+                    )
+                    cut = [joined[s:e] for s, e in zip((base + begin).tolist(), (base + end).tolist())]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(cut, pa.binary())], names)
+
+    return rows.mapInArrow(run, _SEGMENT)
+
+
 def hashed_repeats(rows: DataFrame) -> DataFrame:
     """The same for anchors with very many segments: equal strings meet by two hashes, and the earliest stays.
 
@@ -302,6 +335,18 @@ def shared_anchors(docs: DataFrame, whole: DataFrame) -> DataFrame:
     return stage(wanted.join(whole, ["id", "mark"], "left_anti"), "shared")
 
 
+def distinct_segments(given: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first of equal segments, of anchors with several different ones, and their number ``n``; and the starts in the later ones."""
+    firsts = given.groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
+    firsts = stage(firsts.select("anchor", "digest", "first.*"), "firsts")
+    sweep(given.sparkSession)
+    earlier = firsts.select("anchor", "digest", F.struct("id", "at").alias("first"))
+    later = given.drop("bytes").join(earlier, ["anchor", "digest"]).where(F.struct("id", "at") > F.col("first"))
+    later = later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count"))
+    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    return given.join(firsts.join(several, "anchor"), ["anchor", "digest", "id", "mark", "at"]), later
+
+
 def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``id, mark, start, count``: where repeated strings start in the documents of ``id, mark, text``.
 
@@ -316,24 +361,23 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         cut = stage(segments(docs.join(wanted, ["id", "mark"])), "segments")
         release(spark, listed)
         sweep(spark)
-        given, inside = cut.where("bytes IS NOT NULL"), cut.where("bytes IS NULL")
-        firsts = given.groupBy("anchor", "digest").agg(F.min(F.struct("id", "at", "mark")).alias("first"))
-        firsts = stage(firsts.select("anchor", "digest", "first.*"), "firsts")
-        sweep(spark)
-    earlier = firsts.select("anchor", "digest", F.struct("id", "at").alias("first"))
-    later = given.drop("bytes").join(earlier, ["anchor", "digest"]).where(F.struct("id", "at") > F.col("first"))
-    later = later.select("id", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("count"))
-    inside = inside.select("id", "mark", F.col("at").alias("start"), F.col("size").cast("long").alias("count"))
+        inside = cut.where("bytes IS NULL").select("id", "mark", F.col("at").alias("start"), F.col("size").cast("long").alias("count"))
+        compared, later = distinct_segments(cut.where("bytes IS NOT NULL"))
     known = stage(later.unionByName(inside), "known")
     sweep(spark)
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    compared = given.join(firsts.join(several, "anchor"), ["anchor", "digest", "id", "mark", "at"])
     compared = stage(compared, "compared")
     release(spark, cuts)
     sweep(spark)
-    few, many = compared.where(F.col("n") <= crowd), compared.where(F.col("n") > crowd)
     copies = whole.select("id", "mark", F.lit(0).cast("long").alias("start"), (F.col("bytes") - LENGTH + 1).cast("long").alias("count"))
-    return sorted_repeats(few).unionByName(hashed_repeats(many)).unionByName(known).unionByName(copies)
+    found = sorted_repeats(compared.where(F.col("n") <= crowd)).unionByName(known).unionByName(copies)
+    many = compared.where(F.col("n") > crowd)
+    if not many.isEmpty():
+        split, later = distinct_segments(stage(closer(many), "closer"))
+        split = stage(split, "split")
+        sweep(spark)
+        found = found.unionByName(later).unionByName(sorted_repeats(split.where(F.col("n") <= crowd)))
+        found = found.unionByName(hashed_repeats(split.where(F.col("n") > crowd)))
+    return found
 
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

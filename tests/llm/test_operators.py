@@ -385,6 +385,24 @@ def test_strings_by_either_way(spark, crowd):
     assert covered == want
 
 
+@pytest.mark.parametrize("crowd", [2, 6])
+def test_strings_of_crowded_anchors(spark, crowd, monkeypatch):
+    rng = random.Random(4)
+    dealt = []
+    hashed = suffixes.hashed_repeats
+    monkeypatch.setattr(suffixes, "hashed_repeats", lambda rows: dealt.append(rows.count()) or hashed(rows))
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    anchor, near, far = letters(32), [letters(60) for _ in range(12)], [letters(60) for _ in range(12)]
+    rows = [(i, letters(rng.randrange(90)) + near[i % 12] + anchor + far[i // 2 % 12] + letters(rng.randrange(90))) for i in range(40)]
+    slim = spark.createDataFrame([(d, d, t) for d, t in rows], "id long, mark long, text string").repartition(4)
+    got = {}
+    for r in suffixes.repeats(slim, crowd).collect():
+        got.setdefault(r.id, set()).update(range(r.start, r.start + r["count"]))
+    want = {d: n for d, _, n, _, _ in brute.strings(rows) if n}
+    assert {d: len({p + k for p in starts for k in range(100)}) for d, starts in got.items()} == want
+    assert len(want) > 10 and (crowd < 6 or sum(dealt) < 40)
+
+
 def test_strings_free_each_phase(spark):
     import os
 
