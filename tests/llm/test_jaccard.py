@@ -120,3 +120,47 @@ def test_a_large_group_leaves_few_pairs_to_compare(spark, monkeypatch):
     found = dict(map(tuple, jaccard.classes(frame).collect()))
     assert [found.get(i, i) for i in range(len(texts))] == groups(texts)
     assert max(counts) <= 4 * len(texts)
+
+
+def test_every_text_goes_through_the_masks(spark, monkeypatch):
+    """Also texts that the set join would leave out at once."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.random()}" for _ in range(rng.randrange(3, 60))) for _ in range(30)] + ["", None, "one two"]
+    texts.append(texts[0] + " more")
+    seen = []
+    monkeypatch.setattr(simhash, "links", lambda prints, of=simhash.links: seen.extend(r.fp for r in prints.collect()) or of(prints))
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    found = dict(map(tuple, jaccard.classes(frame).collect()))
+    assert [found.get(i, i) for i in range(len(texts))] == groups(texts)
+    assert sorted(seen) == sorted({simhash.fingerprint_of(t, 5) for t in texts})
+
+
+def test_every_link_of_the_masks_is_compared(spark, monkeypatch):
+    """Fingerprints ruled by a phrase that all texts repeat link more unlike texts than alike ones; the set join is left out."""
+    rng, texts, prints = random.Random(6), [], set()
+    word = lambda: f"x{rng.randrange(10**9)}"
+    phrase = " ".join(word() for _ in range(7))
+    for _ in range(15):
+        tail = [word() for _ in range(20)]
+        for times, last in [(7, 0), (8, 0), (7, 1), (7, 2), (8, 1)]:  # 7 and 8 times give the same set
+            text = " ".join([phrase] * times + tail[: 20 - last] + [word() for _ in range(last)])
+            if (made := simhash.fingerprint_of(text, 5)) not in prints:
+                prints.add(made)
+                texts.append(text)
+    fps, root = [simhash.fingerprint_of(t, 5) for t in texts], list(range(len(texts)))
+    linked = 0
+    for i, a in enumerate(texts):
+        for j in range(i):
+            s, t = shingles(a), shingles(texts[j])
+            near = ((fps[i] ^ fps[j]) % 2**64).bit_count() <= simhash.RADIUS
+            linked += near
+            if root[i] != root[j] and (s == t or near and 5 * len(s & t) >= 4 * len(s | t)):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    nothing = spark.createDataFrame([], "u long, v long")
+    monkeypatch.setattr(jaccard, "proposals", lambda rows: nothing)
+    monkeypatch.setattr(jaccard, "pairs", lambda rows: nothing)
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    found = dict(map(tuple, jaccard.classes(frame).collect()))
+    assert linked > len(texts) > len(set(root))
+    assert [found.get(i, i) for i in range(len(texts))] == root
